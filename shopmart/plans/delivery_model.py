@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -62,6 +63,7 @@ def train(features: DataFrame) -> PipelineModel:
     Both features are small integers, so orders are counted per combination
     once and every iteration runs over the weighted combinations. The loss is
     the same as over single orders; only the first pass grows with the data.
+    The counts are kept for the length of the fit, which reads them many times.
     """
     stages = [
         VectorAssembler(inputCols=FEATURES, outputCol="features"),
@@ -69,7 +71,11 @@ def train(features: DataFrame) -> PipelineModel:
             featuresCol="features", labelCol=LABEL, weightCol="weight", maxIter=MAX_ITERATIONS
         ),
     ]
-    return Pipeline(stages=stages).fit(_weighted(features))
+    weighted = _weighted(features).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return Pipeline(stages=stages).fit(weighted)
+    finally:
+        weighted.unpersist()
 
 
 def predict(model: PipelineModel, features: DataFrame) -> DataFrame:

@@ -28,18 +28,50 @@ def _money(name: str) -> Column:
     return F.col(name).cast("decimal(12,2)")
 
 
+# Declared, so that no job is needed to find the columns of a file.
+_FILE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": (
+        "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+        "props string"
+    ),
+}
+
+
 class RawTables:
-    """Raw tables of one scale folder, each built when asked for."""
+    """Raw tables of one scale folder, each built once, when asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._built: dict[str, DataFrame] = {}
 
     def scan(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        reader = self.spark.read.schema(_FILE_SCHEMAS[name])
+        return reader.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def __getitem__(self, name: str) -> DataFrame:
-        return _BUILDERS[name](self)
+        if name not in self._built:
+            self._built[name] = _BUILDERS[name](self)
+        return self._built[name]
 
     def all(self) -> dict[str, DataFrame]:
         return {name: self[name] for name in _BUILDERS}
@@ -139,9 +171,10 @@ def _products(raw: RawTables) -> DataFrame:
 
 
 def _translation(raw: RawTables) -> DataFrame:
-    return raw.spark.createDataFrame(
-        [(name, name.lower()) for name in TRANSLATED_TYPES],
-        "product_category_name string, product_category_name_english string",
+    # Literal rows in SQL are a local relation, whose size Spark knows.
+    rows = ", ".join(f"('{name}', '{name.lower()}')" for name in TRANSLATED_TYPES)
+    return raw.spark.sql(
+        f"SELECT * FROM VALUES {rows} AS t(product_category_name, product_category_name_english)"
     )
 
 
