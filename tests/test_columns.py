@@ -1,0 +1,45 @@
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from shopmart.functions import columns as c
+
+
+@pytest.mark.parametrize(
+    ("end", "start", "days"),
+    [
+        ("2017-01-02 00:01:00", "2017-01-01 23:59:00", 1),
+        ("2017-01-01 23:59:00", "2017-01-01 00:00:00", 0),
+        ("2016-12-31 23:59:00", "2017-01-01 00:00:00", -1),
+        (None, "2017-01-01 00:00:00", None),
+    ],
+)
+def test_calendar_days(spark, end, start, days):
+    df = spark.range(1).select(F.lit(end).cast("timestamp").alias("e"), F.lit(start).cast("timestamp").alias("s"))
+    assert df.select(c.days_between(F.col("e"), F.col("s"))).first()[0] == days
+
+
+def test_month_is_cut_in_utc(spark):
+    df = spark.createDataFrame([(datetime(2017, 12, 31, 23, 30),)], "t timestamp_ntz")
+    month = df.select(c.month_of(F.col("t")), c.month_of(F.col("t").cast("timestamp"))).first()
+    assert tuple(month) == (date(2017, 12, 1), date(2017, 12, 1))
+
+
+def test_missing_parts_make_missing_values(spark):
+    row = spark.sql("SELECT 'o' AS o, 7 AS i, cast(NULL AS int) AS n").select(
+        c.order_item_key(F.col("o"), F.col("i")),
+        c.order_item_key(F.col("o"), F.col("n")),
+        c.item_revenue(F.col("i"), F.col("n")),
+        c.mean(F.col("n"), F.lit(0)),
+        c.mean(F.col("i"), F.lit(2)),
+    ).first()
+    assert tuple(row) == ("o_7", None, None, None, 3.5)
+
+
+def test_delay_flag(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES (2, 1), (1, 1), (0, 1), (NULL, 1), (1, NULL) AS t(delivered, estimated)"
+    )
+    flags = df.select(c.delayed_flag(F.col("delivered"), F.col("estimated")).alias("f")).collect()
+    assert [r.f for r in flags] == [1, 0, 0, 0, 0]

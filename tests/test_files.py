@@ -1,0 +1,182 @@
+"""CSV source, Parquet sink and catalog."""
+
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from helpers import tuples
+from pyspark.sql import functions as F
+
+from shopmart.plans.jobs import ingest
+from shopmart.schemas import RAW_SCHEMAS
+from shopmart.sinks import catalog
+from shopmart.sinks.parquet_tables import write_table
+from shopmart.sources.csv_files import list_csv, read_csv, table_name
+from shopmart.sources.parquet_tables import read_tables
+
+REVIEWS = (
+    '"review_id","order_id","review_score","review_comment_message"\n'
+    '"r1","o1",5,"first line\nsecond ""quoted"" line, with comma"\n'
+    '"r2","o2",,\n'
+)
+CUSTOMERS = (
+    '"customer_id","customer_unique_id","customer_zip_code_prefix","customer_city","customer_state"\n'
+    '"c1","u1","01037","sao paulo","SP"\n'
+)
+
+
+def put(path, text, encoding="utf-8"):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text, encoding=encoding)
+    return path
+
+
+@pytest.mark.parametrize(
+    ("stem", "table"),
+    [
+        ("acme_orders_dataset", "orders"),
+        ("acme_order_items_dataset", "order_items"),
+        ("orders", "orders"),
+        ("product_category_name_translation", "product_category_name_translation"),
+        ("acme_stores_dataset", "acme_stores"),
+    ],
+)
+def test_table_names(stem, table):
+    assert table_name(stem) == table
+
+
+def test_ingest(spark, tmp_path):
+    src, dst = tmp_path / "csv in", tmp_path / "out"
+    put(src / "acme_order_reviews_dataset.csv", REVIEWS)
+    put(src / "acme_customers_dataset.csv", CUSTOMERS)
+    put(src / "product_category_name_translation.csv",
+        "product_category_name,product_category_name_english\nbeleza,beauty\n", "utf-8-sig")
+    put(src / "acme_sellers_dataset.csv", "seller_id,seller_zip_code_prefix,seller_city,seller_state\n")
+    put(src / "stores.csv", "name,size\nnorth,3\n")
+    put(src / "readme.txt", "not a table")
+    rows = ingest(spark, str(src), str(dst), coalesce=1)
+    assert rows == {
+        "customers": 1,
+        "order_reviews": 2,
+        "product_category_name_translation": 1,
+        "sellers": 0,
+        "stores": 1,
+    }
+    tables = read_tables(spark, str(dst), rows)
+    reviews = tables["order_reviews"].orderBy("review_id").collect()
+    assert reviews[0].review_comment_message == 'first line\nsecond "quoted" line, with comma'
+    assert (reviews[0].review_score, reviews[1].review_score) == (5, None)
+    assert tables["customers"].first().customer_zip_code_prefix == "01037"
+    assert tuples(tables["product_category_name_translation"]) == [("beleza", "beauty")]
+    assert tables["sellers"].columns == RAW_SCHEMAS["sellers"].fieldNames()
+    # A table that is not declared is kept, as text.
+    assert tuples(tables["stores"]) == [("north", "3")]
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    path = put(
+        tmp_path / "order_items.csv",
+        "price,order_id,shipping_limit_date,order_item_id,seller_id,product_id,freight_value\n"
+        "12.50,o1,2017-01-01 10:00:00,1,s1,p1,1.25\n",
+    )
+    row = read_csv(spark, "order_items", [str(path)]).first()
+    assert (row.price, row.freight_value, row.order_item_id) == (Decimal("12.50"), Decimal("1.25"), 1)
+    assert (row.order_id, row.shipping_limit_date) == ("o1", "2017-01-01 10:00:00")
+
+
+def test_timestamps_are_utc(spark, tmp_path):
+    names = RAW_SCHEMAS["orders"].fieldNames()
+    path = put(tmp_path / "orders.csv",
+               ",".join(names) + "\no1,c1,shipped,2017-10-02 10:56:33,,,,2017-10-18 00:00:00\n")
+    row = read_csv(spark, "orders", [str(path)]).select(
+        F.col("order_purchase_timestamp").cast("timestamp_ntz").alias("t"),
+        F.unix_timestamp("order_purchase_timestamp").alias("s"),
+        "order_approved_at",
+    ).first()
+    assert row.t == datetime(2017, 10, 2, 10, 56, 33)
+    assert row.s == 1506941793
+    assert row.order_approved_at is None
+
+
+def test_folder_of_parts_is_one_table(spark, tmp_path):
+    put(tmp_path / "acme_customers_dataset" / "a.csv", CUSTOMERS)
+    put(tmp_path / "acme_customers_dataset" / "b.csv", CUSTOMERS.replace("c1", "c2"))
+    listed = list_csv(spark, str(tmp_path))
+    assert list(listed) == ["customers"] and len(listed["customers"]) == 2
+    assert read_csv(spark, "customers", listed["customers"]).count() == 2
+
+
+def test_parts_with_other_columns_raise(spark, tmp_path):
+    header = "customer_unique_id,customer_id,customer_zip_code_prefix,customer_city,customer_state\n"
+    first = put(tmp_path / "customers" / "a.csv", CUSTOMERS)
+    second = put(tmp_path / "customers" / "b.csv", header + "u2,c2,2,x,Y\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, "customers", [str(first), str(second)]).collect()
+
+
+def test_bad_values_and_headers_raise(spark, tmp_path):
+    bad = put(tmp_path / "order_reviews.csv", "order_id,review_score\no1,five\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_csv(spark, "order_reviews", [str(bad)]).collect()
+    short = put(tmp_path / "short.csv", "order_id\no1\n")
+    with pytest.raises(ValueError, match="review_score"):
+        read_csv(spark, "order_reviews", [str(short)])
+
+
+def test_types_can_be_inferred(spark, tmp_path):
+    path = put(tmp_path / "stores.csv", "name,size\nnorth,3\n")
+    assert dict(read_csv(spark, "stores", [str(path)], infer=True).dtypes)["size"] == "int"
+
+
+def test_no_files_raise(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(FileNotFoundError):
+        list_csv(spark, str(tmp_path / "empty"))
+
+
+def test_two_files_for_one_table_raise(spark, tmp_path):
+    put(tmp_path / "acme_customers_dataset.csv", CUSTOMERS)
+    put(tmp_path / "customers.csv", CUSTOMERS)
+    with pytest.raises(ValueError, match="customers"):
+        list_csv(spark, str(tmp_path))
+
+
+def test_overwrite_counts_and_codec(spark, tmp_path):
+    path = tmp_path / "t"
+    assert write_table(spark.range(1000).repartition(4), str(path)) == 1000
+    assert write_table(spark.range(10), str(path), coalesce=1) == 10
+    files = list(path.glob("*.parquet"))
+    assert len(files) == 1 and ".snappy." in files[0].name
+    assert spark.read.parquet(str(path)).count() == 10
+    assert write_table(spark.range(100).repartition(8), str(path), rebalance=True) == 100
+    assert len(list(path.glob("*.parquet"))) == 1
+    with pytest.raises(ValueError):
+        write_table(spark.range(1), str(path), coalesce=1, rebalance=True)
+
+
+def test_catalog(spark, tmp_path):
+    path = tmp_path / "it's here"
+    write_table(spark.range(3), str(path))
+    catalog.create_database(spark, "files_db")
+    catalog.register_parquet(spark, "files_db", "numbers", str(path))
+    catalog.register_parquet(spark, "files_db", "numbers", str(path))
+    assert catalog.read_table(spark, "files_db", "numbers").count() == 3
+    write_table(spark.range(5), str(path))
+    catalog.refresh(spark, "files_db", ["numbers"])
+    assert catalog.read_table(spark, "files_db", "numbers").count() == 5
+    catalog.drop_table(spark, "files_db", "numbers")
+    assert path.exists()
+    with pytest.raises(LookupError, match="files_db.numbers"):
+        catalog.read_table(spark, "files_db", "numbers")
+    catalog.register_all(spark, "files_db", str(tmp_path), [])
+    for bad in ("1a", "a-b", "a b", "", "a;b", "a\n"):
+        with pytest.raises(ValueError):
+            catalog.identifier(bad)
+
+
+def test_managed_table_and_view(spark):
+    catalog.save_table(spark.range(4), "managed_db", "t")
+    catalog.save_table(spark.range(2), "managed_db", "t")
+    assert catalog.read_table(spark, "managed_db", "t").count() == 2
+    catalog.create_view(spark.range(7), "seven")
+    assert spark.table("seven").count() == 7

@@ -1,0 +1,172 @@
+"""Joins under hot keys: same rows, spread over many tasks."""
+
+import pytest
+from helpers import final_plan, settings, tuples
+from pyspark.sql import functions as F
+
+from shopmart.operators.joins import fanout, hot_keys, lookup_join
+from shopmart.plans import gold as g
+from shopmart.plans import marts
+
+
+@pytest.fixture(scope="module")
+def skewed(spark, tmp_path_factory):
+    """Items on disk of which a third belong to one order and a sixth to none."""
+    n = 60_000
+    order = (
+        F.when(F.col("id") % 3 == 0, "hot")
+        .when(F.col("id") % 6 == 1, None)
+        .otherwise(F.concat(F.lit("o"), (F.col("id") % 5000).cast("string")))
+    )
+    items = spark.range(n).select(
+        order.alias("order_id"),
+        F.lit(1).alias("order_item_id"),
+        F.when(F.col("id") % 2 == 0, "p").otherwise(F.col("id").cast("string")).alias("product_id"),
+        F.when(F.col("id") % 2 == 0, "s").otherwise(F.col("id").cast("string")).alias("seller_id"),
+        F.lit("1.50").cast("decimal(12,2)").alias("price"),
+        F.lit("0.50").cast("decimal(12,2)").alias("freight_value"),
+    )
+    path = str(tmp_path_factory.mktemp("skew") / "items")
+    items.repartition(4).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="module")
+def orders(spark):
+    ids = spark.range(4000).select(F.concat(F.lit("o"), F.col("id").cast("string")).alias("order_id"))
+    return ids.union(spark.sql("SELECT 'hot'")).select(
+        "order_id", F.md5("order_id").alias("customer_id")
+    )
+
+
+def test_hot_keys_are_found(skewed):
+    found = hot_keys(skewed, "order_id", fraction=1.0, min_sampled=5000)
+    assert found == ["hot", None]
+    # Without a sample row there is nothing to deal out.
+    assert hot_keys(skewed.limit(0), "order_id") == []
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("hot", [[], ["hot"], [None], ["hot", None, "o1", "absent"]])
+def test_same_rows_as_the_plain_join(skewed, orders, how, hot):
+    columns = ["order_id", "seller_id", "customer_id"]
+    plain = skewed.join(orders, "order_id", how).select(*columns)
+    safe = lookup_join(skewed, orders, "order_id", how, hot=hot).select(*columns)
+    assert safe.exceptAll(plain).isEmpty()
+    assert plain.exceptAll(safe).isEmpty()
+
+
+def test_partners_are_kept_when_the_one_side_repeats(spark, skewed):
+    twice = spark.sql("SELECT * FROM VALUES ('hot', 1), ('hot', 2), ('o1', 3) AS t(order_id, v)")
+    plain = skewed.join(twice, "order_id", "left")
+    safe = lookup_join(skewed, twice, "order_id", "left", hot=["hot", None])
+    assert safe.groupBy("v").count().exceptAll(plain.groupBy("v").count()).isEmpty()
+    assert safe.count() == plain.count() == 60_000 + 20_000
+
+
+def test_hot_key_is_spread_over_tasks(spark, skewed, orders):
+    off = {
+        "spark__sql__autoBroadcastJoinThreshold": "-1",
+        "spark__sql__adaptive__enabled": "false",
+        "spark__sql__shuffle__partitions": "64",
+    }
+    with settings(spark, **off):
+        grouped = orders.groupBy("order_id").agg(F.max("customer_id").alias("customer_id"))
+
+        def largest_task(df):
+            # The joined column is counted too, or the join would be optimised away.
+            per_task = df.groupBy(F.spark_partition_id()).agg(
+                F.count(F.lit(1)).alias("rows"), F.count("customer_id").alias("joined")
+            )
+            return per_task.agg(F.max("rows"), F.max("joined")).first()[0]
+
+        plain = largest_task(skewed.join(grouped, "order_id", "left"))
+        safe = largest_task(lookup_join(skewed, grouped, "order_id", "left", hot=["hot", None]))
+        # 60,000 rows over 64 tasks are 938 each.
+        assert plain >= 20_000
+        assert safe < 4_000
+
+
+def test_no_hot_key_means_the_plain_plan(skewed, orders):
+    joined = lookup_join(skewed, orders, "order_id", "left", hot=[])
+    plan = joined._jdf.queryExecution().analyzed().toString()
+    assert "__salt" not in plan and "Generate" not in plan
+
+
+def test_other_join_types_are_refused(skewed, orders):
+    with pytest.raises(ValueError, match="full"):
+        lookup_join(skewed, orders, "order_id", "full", hot=[])
+
+
+SKEW_SETTINGS = {
+    "spark__sql__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "20KB",
+    "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "1.5",
+    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "10KB",
+    "spark__sql__shuffle__partitions": "16",
+}
+
+
+def saved(spark, df, folder):
+    df.write.mode("overwrite").parquet(str(folder))
+    return spark.read.parquet(str(folder))
+
+
+def test_adaptive_planner_splits_the_wide_view(spark, skewed, tmp_path):
+    """A product and a seller with half of the rows: both joins of the view are split."""
+    sides = skewed.select("product_id", "seller_id").distinct()
+    products = sides.select("product_id", F.lit("x").alias("product_category_name_english"))
+    sellers = sides.select("seller_id", F.lit("a").alias("seller_city"), F.lit("b").alias("seller_state"))
+    products = saved(spark, products.distinct(), tmp_path / "p")
+    sellers = saved(spark, sellers.distinct(), tmp_path / "s")
+    extra = [c for c in marts.JOINED_COLUMNS if c not in skewed.columns]
+    extra = [c for c in extra if c not in (*products.columns, *sellers.columns)]
+    lines = skewed.withColumns({c: F.lit(None).cast("string") for c in extra})
+    with settings(spark, **SKEW_SETTINGS):
+        plan = final_plan(marts.dw_joined(lines, products, sellers))
+    assert plan.count("SortMergeJoin(skew=true)") == 2
+
+
+def test_adaptive_planner_splits_items_and_payments(spark, skewed, orders, tmp_path):
+    on_disk = saved(
+        spark, orders.withColumn("order_purchase_timestamp", F.current_timestamp()), tmp_path / "o"
+    )
+    payments = skewed.select(
+        "order_id", F.lit("card").alias("payment_type"), F.col("price").alias("payment_value")
+    )
+    with settings(spark, **SKEW_SETTINGS):
+        lines = g.item_lines(skewed, on_disk).groupBy("product_id").agg(F.sum("item_revenue"))
+        assert "skew=true" in final_plan(lines)
+        view = marts.dw_payments_joined(payments, on_disk)
+        assert "skew=true" in final_plan(marts.payment_value_by_month(view))
+
+
+def test_sums_per_order_are_reduced_before_the_shuffle(spark, skewed, orders):
+    dated = orders.withColumns(
+        {
+            "order_purchase_timestamp": F.lit("2017-01-01 00:00:00").cast("timestamp"),
+            "order_delivered_customer_date": F.lit(None).cast("timestamp"),
+        }
+    )
+    sales = marts.order_sales(g.with_revenue(skewed), dated)
+    assert sales.where("order_id = 'hot'").first().items == 20_000
+    plan = sales._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_sum") > plan.index("Exchange")
+
+
+def test_fanout_report(shop):
+    report = fanout(
+        "customers",
+        shop["customers"],
+        "customer_zip_code_prefix",
+        shop["geolocation"],
+        "geolocation_zip_code_prefix",
+    )
+    joined = shop["customers"].join(
+        shop["geolocation"],
+        F.col("customer_zip_code_prefix") == F.col("geolocation_zip_code_prefix"),
+        "left",
+    )
+    assert joined.count() == 6
+    assert tuples(report) == [("customers", 4, 1, 3, 6.0, 4.0)]
