@@ -47,12 +47,12 @@ def ingest(
     """Every CSV table under ``src`` as a Parquet dataset under ``dst``; rows per table."""
     return {
         table: write_table(
-            read_csv(spark, table, paths, multi_line=multi_line, infer=infer),
+            read_csv(spark, table, source, multi_line=multi_line, infer=infer),
             f"{dst.rstrip('/')}/{table}",
             coalesce=coalesce,
             rebalance=rebalance,
         )
-        for table, paths in list_csv(spark, src).items()
+        for table, source in list_csv(spark, src).items()
     }
 
 

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+import posixpath
+import re
 from collections.abc import Sequence
-from urllib.parse import unquote
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopmart.schemas import RAW_SCHEMAS, RAW_TABLES
 
 SUFFIX = "_dataset"
+PATTERN = "*.csv"
 
 
 def table_name(stem: str) -> str:
@@ -21,41 +24,55 @@ def table_name(stem: str) -> str:
     return max(known, key=len) if known else name
 
 
-def list_csv(spark: SparkSession, src: str) -> dict[str, list[str]]:
-    """Files of each table under ``src``, on any file system Spark can read.
+@dataclass(frozen=True)
+class CsvTable:
+    """A file, or a folder of part files, and the file its header is read from."""
+
+    path: str
+    first_file: str
+
+
+def list_csv(spark: SparkSession, src: str) -> dict[str, CsvTable]:
+    """Tables under ``src``, on any file system Spark can read.
 
     A file directly in ``src`` is a table by its own name; files in a subfolder
-    are the parts of one table named by the folder. Only names are read.
+    are the parts of one table named by the subfolder. Only names are read, and
+    a folder comes back as one entry however many parts it has.
     """
-    rows = (
+    files = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", PATTERN)
         .option("recursiveFileLookup", "true")
         .load(src)
-        .select("path")
+    )
+    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
+    # Paths come back in full, with scheme and host; ``src`` may lack them.
+    root = posixpath.normpath(re.sub(r"^\w+:(//[^/]*)?", "", src))
+    is_part = ~folder.endswith(root)
+    found = (
+        files.select(F.when(is_part, folder).otherwise(F.col("path")).alias("table_path"), "path")
+        .groupBy("table_path")
+        .agg(F.min("path").alias("first_file"))
+        .orderBy("table_path")
         .collect()
     )
-    root = unquote(src.rstrip("/")).rsplit("/", 1)[-1]
-    tables: dict[str, list[str]] = defaultdict(list)
-    for path in sorted(row.path for row in rows):
-        folder, file = path.rsplit("/", 1)
-        parent = unquote(folder).rsplit("/", 1)[-1]
-        if parent == root:
-            name = table_name(file.removesuffix(".csv"))
-            if name in tables:
-                raise ValueError(f"two sources for table {name!r} in {src}")
-        else:
-            name = table_name(parent)
-        tables[name].append(path)
+    tables: dict[str, CsvTable] = {}
+    for row in found:
+        name = table_name(row.table_path.rsplit("/", 1)[-1].removesuffix(".csv"))
+        if name in tables:
+            raise ValueError(f"two sources for table {name!r} in {src}")
+        tables[name] = CsvTable(row.table_path, row.first_file)
     if not tables:
         raise FileNotFoundError(f"no CSV files in {src}")
     return dict(sorted(tables.items()))
 
 
-def _reader(spark: SparkSession, multi_line: bool):
+def _reader(spark: SparkSession, multi_line: bool) -> DataFrameReader:
     # A quote inside a quoted field is written twice.
     return (
         spark.read.option("header", "true")
+        .option("pathGlobFilter", PATTERN)
+        .option("recursiveFileLookup", "true")
         .option("multiLine", str(multi_line).lower())
         .option("quote", '"')
         .option("escape", '"')
@@ -78,7 +95,7 @@ def declared_schema(table: str, header: Sequence[str]) -> T.StructType:
 def read_csv(
     spark: SparkSession,
     table: str,
-    paths: Sequence[str],
+    source: CsvTable,
     multi_line: bool = True,
     infer: bool = False,
     mode: str = "FAILFAST",
@@ -94,16 +111,15 @@ def read_csv(
     turn it off where no field has line breaks, and files are split.
     ``infer`` takes all types from the data instead, at the cost of a scan.
     """
-    paths = list(paths)
     reader = _reader(spark, multi_line)
     if infer:
-        return reader.option("inferSchema", "true").csv(paths)
-    header = reader.csv(paths[0]).columns
+        return reader.option("inferSchema", "true").csv(source.path)
+    header = reader.csv(source.first_file).columns
     if not header:
-        raise ValueError(f"{paths[0]} has no header")
+        raise ValueError(f"{source.first_file} has no header")
     return (
         reader.schema(declared_schema(table, header))
         .option("enforceSchema", "false")
         .option("mode", mode)
-        .csv(paths)
+        .csv(source.path)
     )

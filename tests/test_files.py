@@ -11,7 +11,7 @@ from shopmart.plans.jobs import ingest
 from shopmart.schemas import RAW_SCHEMAS
 from shopmart.sinks import catalog
 from shopmart.sinks.parquet_tables import write_table
-from shopmart.sources.csv_files import list_csv, read_csv, table_name
+from shopmart.sources.csv_files import CsvTable, list_csv, read_csv, table_name
 from shopmart.sources.parquet_tables import read_tables
 
 REVIEWS = (
@@ -31,6 +31,10 @@ def put(path, text, encoding="utf-8"):
     return path
 
 
+def one(path):
+    return CsvTable(str(path), str(path))
+
+
 @pytest.mark.parametrize(
     ("stem", "table"),
     [
@@ -79,7 +83,7 @@ def test_columns_are_found_by_name(spark, tmp_path):
         "price,order_id,shipping_limit_date,order_item_id,seller_id,product_id,freight_value\n"
         "12.50,o1,2017-01-01 10:00:00,1,s1,p1,1.25\n",
     )
-    row = read_csv(spark, "order_items", [str(path)]).first()
+    row = read_csv(spark, "order_items", one(path)).first()
     assert (row.price, row.freight_value, row.order_item_id) == (Decimal("12.50"), Decimal("1.25"), 1)
     assert (row.order_id, row.shipping_limit_date) == ("o1", "2017-01-01 10:00:00")
 
@@ -88,7 +92,7 @@ def test_timestamps_are_utc(spark, tmp_path):
     names = RAW_SCHEMAS["orders"].fieldNames()
     path = put(tmp_path / "orders.csv",
                ",".join(names) + "\no1,c1,shipped,2017-10-02 10:56:33,,,,2017-10-18 00:00:00\n")
-    row = read_csv(spark, "orders", [str(path)]).select(
+    row = read_csv(spark, "orders", one(path)).select(
         F.col("order_purchase_timestamp").cast("timestamp_ntz").alias("t"),
         F.unix_timestamp("order_purchase_timestamp").alias("s"),
         "order_approved_at",
@@ -102,30 +106,40 @@ def test_folder_of_parts_is_one_table(spark, tmp_path):
     put(tmp_path / "acme_customers_dataset" / "a.csv", CUSTOMERS)
     put(tmp_path / "acme_customers_dataset" / "b.csv", CUSTOMERS.replace("c1", "c2"))
     listed = list_csv(spark, str(tmp_path))
-    assert list(listed) == ["customers"] and len(listed["customers"]) == 2
+    assert list(listed) == ["customers"]
+    assert listed["customers"].path.endswith("/acme_customers_dataset")
     assert read_csv(spark, "customers", listed["customers"]).count() == 2
 
 
+def test_part_folder_may_be_named_like_the_source(spark, tmp_path):
+    put(tmp_path / "customers" / "customers" / "a.csv", CUSTOMERS)
+    put(tmp_path / "customers" / "customers" / "b.csv", CUSTOMERS)
+    for src in (f"{tmp_path}/customers/", f"file://{tmp_path}/customers"):
+        source = list_csv(spark, src)["customers"]
+        assert read_csv(spark, "customers", source).count() == 2
+
+
 def test_parts_with_other_columns_raise(spark, tmp_path):
     header = "customer_unique_id,customer_id,customer_zip_code_prefix,customer_city,customer_state\n"
-    first = put(tmp_path / "customers" / "a.csv", CUSTOMERS)
-    second = put(tmp_path / "customers" / "b.csv", header + "u2,c2,2,x,Y\n")
+    put(tmp_path / "customers" / "a.csv", CUSTOMERS)
+    put(tmp_path / "customers" / "b.csv", header + "u2,c2,2,x,Y\n")
+    source = list_csv(spark, str(tmp_path))["customers"]
     with pytest.raises(Exception, match="(?i)header"):
-        read_csv(spark, "customers", [str(first), str(second)]).collect()
+        read_csv(spark, "customers", source).collect()
 
 
 def test_bad_values_and_headers_raise(spark, tmp_path):
     bad = put(tmp_path / "order_reviews.csv", "order_id,review_score\no1,five\n")
     with pytest.raises(Exception, match="(?i)malformed"):
-        read_csv(spark, "order_reviews", [str(bad)]).collect()
+        read_csv(spark, "order_reviews", one(bad)).collect()
     short = put(tmp_path / "short.csv", "order_id\no1\n")
     with pytest.raises(ValueError, match="review_score"):
-        read_csv(spark, "order_reviews", [str(short)])
+        read_csv(spark, "order_reviews", one(short))
 
 
 def test_types_can_be_inferred(spark, tmp_path):
     path = put(tmp_path / "stores.csv", "name,size\nnorth,3\n")
-    assert dict(read_csv(spark, "stores", [str(path)], infer=True).dtypes)["size"] == "int"
+    assert dict(read_csv(spark, "stores", one(path), infer=True).dtypes)["size"] == "int"
 
 
 def test_no_files_raise(spark, tmp_path):
