@@ -83,7 +83,7 @@ def build_models(spark: SparkSession, raw_base: str, dst: str) -> dict[str, int]
     return rows
 
 
-def test_models(tables: dict[str, DataFrame]) -> None:
+def check_models(tables: dict[str, DataFrame]) -> None:
     """Raise if a declared test fails."""
     failed = [row for row in run_checks(tables, declared_checks()).collect() if row.failures]
     if failed:
@@ -128,7 +128,7 @@ def run_all(
     models = (SILVER, *GOLD_TABLES)
     catalog.register_all(spark, gold_database, gold_base, models)
     tables = {name: catalog.read_table(spark, gold_database, name) for name in models}
-    test_models(tables)
+    check_models(tables)
     auc = train_model(spark, gold_database)
     catalog.refresh(spark, gold_database, (*models, PREDICTIONS))
     create_views(tables)

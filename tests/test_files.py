@@ -155,19 +155,30 @@ def test_two_files_for_one_table_raise(spark, tmp_path):
         list_csv(spark, str(tmp_path))
 
 
-def test_overwrite_counts_and_codec(spark, tmp_path):
+def test_sink_parquet(spark, tmp_path):
     path = tmp_path / "t"
-    assert write_table(spark.range(1000).repartition(4), str(path)) == 1000
-    assert write_table(spark.range(10), str(path), coalesce=1) == 10
-    files = list(path.glob("*.parquet"))
-    assert len(files) == 1 and ".snappy." in files[0].name
+    write_table(spark.range(1000), str(path))
+    write_table(spark.range(10), str(path))
     assert spark.read.parquet(str(path)).count() == 10
-    assert write_table(spark.range(100).repartition(8), str(path), rebalance=True) == 100
+    assert all(".snappy." in file.name for file in path.glob("*.parquet"))
+
+
+def test_sink_coalesce(spark, tmp_path):
+    path = tmp_path / "t"
+    write_table(spark.range(100).repartition(8), str(path), coalesce=2)
+    assert len(list(path.glob("*.parquet"))) == 2
+    write_table(spark.range(100).repartition(8), str(path), rebalance=True)
     assert len(list(path.glob("*.parquet"))) == 1
     with pytest.raises(ValueError):
         write_table(spark.range(1), str(path), coalesce=1, rebalance=True)
 
 
+@pytest.mark.parametrize("layout", [{}, {"coalesce": 1}, {"rebalance": True}])
+def test_rowcounts(spark, tmp_path, layout):
+    assert write_table(spark.range(1000).repartition(4), str(tmp_path / "t"), **layout) == 1000
+    assert write_table(spark.range(0), str(tmp_path / "t"), **layout) == 0
+
+
 def test_catalog(spark, tmp_path):
     path = tmp_path / "it's here"
     write_table(spark.range(3), str(path))
@@ -188,7 +199,7 @@ def test_catalog(spark, tmp_path):
             catalog.identifier(bad)
 
 
-def test_managed_table_and_view(spark):
+def test_managed_tables_and_views(spark):
     catalog.save_table(spark.range(4), "managed_db", "t")
     catalog.save_table(spark.range(2), "managed_db", "t")
     assert catalog.read_table(spark, "managed_db", "t").count() == 2

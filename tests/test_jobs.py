@@ -63,6 +63,18 @@ def test_failing_test_stops_the_chain(spark, tmp_path, orders):
         catalog.read_table(spark, "bad_dw", jobs.PREDICTIONS)
 
 
+def test_predictions_table(spark, orders):
+    names = RAW_SCHEMAS["orders"]
+    catalog.save_table(spark.createDataFrame(orders, names), "ml_dw", "dim_orders")
+    auc = jobs.train_model(spark, "ml_dw")
+    again = jobs.train_model(spark, "ml_dw")
+    table = catalog.read_table(spark, "ml_dw", jobs.PREDICTIONS)
+    assert table.columns == [
+        "order_id", "customer_id", "is_delayed", "predicted_delay", "probability"
+    ]
+    assert auc == again and table.count() == table.select("order_id").distinct().count() > 0
+
+
 def test_training_needs_its_table(spark):
     with pytest.raises(LookupError, match="nowhere.dim_orders"):
         jobs.train_model(spark, "nowhere")
