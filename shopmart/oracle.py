@@ -77,27 +77,29 @@ _CTES: dict[str, str] = {
         SELECT p.*, t.product_category_name_english
         FROM raw_products p LEFT JOIN raw_translation t USING (product_category_name)""",
     "fact": """
-        SELECT CAST(i.order_id AS VARCHAR) || '_' || CAST(i.order_item_id AS VARCHAR)
-                   AS order_item_key,
-               i.order_id, i.order_item_id, i.product_id, i.seller_id, o.customer_id, i.price,
-               i.freight_value, i.price + i.freight_value AS item_revenue,
+        SELECT concat_ws('_', i.order_id, i.order_item_id) AS order_item_key, i.*,
+               o.customer_id, i.price + i.freight_value AS item_revenue,
                CAST(date_diff('day', o.order_purchase_timestamp, o.order_delivered_customer_date)
                    AS INTEGER) AS delivery_time_days,
                r.review_score
-        FROM raw_items i JOIN raw_orders o ON i.order_id = o.order_id
-        LEFT JOIN order_scores r ON i.order_id = r.order_id""",
+        FROM raw_items i JOIN raw_orders o USING (order_id)
+        LEFT JOIN order_scores r USING (order_id)""",
     "joined": """
-        SELECT f.order_item_key, f.order_id, f.price, f.freight_value, f.item_revenue,
-               f.delivery_time_days, f.review_score, o.order_status, o.order_purchase_timestamp,
-               p.product_category_name_english, s.seller_id, s.seller_city, s.seller_state,
-               c.customer_city, c.customer_state
-        FROM fact f LEFT JOIN raw_orders o ON f.order_id = o.order_id
-        LEFT JOIN products_en p ON f.product_id = p.product_id
-        LEFT JOIN raw_sellers s ON f.seller_id = s.seller_id
-        LEFT JOIN raw_customers c ON f.customer_id = c.customer_id""",
+        WITH o AS (SELECT order_id, order_status, order_purchase_timestamp FROM raw_orders),
+             p AS (SELECT product_id, product_category_name_english FROM products_en),
+             s AS (SELECT seller_id AS known_seller, seller_city, seller_state FROM raw_sellers),
+             c AS (SELECT customer_id, customer_city, customer_state FROM raw_customers)
+        SELECT fact.* EXCLUDE (order_item_id, product_id, seller_id, customer_id),
+               order_status, order_purchase_timestamp, product_category_name_english,
+               known_seller AS seller_id, seller_city, seller_state, customer_city,
+               customer_state
+        FROM fact LEFT JOIN o USING (order_id)
+        LEFT JOIN p USING (product_id)
+        LEFT JOIN s ON seller_id = known_seller
+        LEFT JOIN c USING (customer_id)""",
     "payments_joined": """
-        SELECT p.payment_type, p.payment_value, o.order_purchase_timestamp
-        FROM raw_payments p LEFT JOIN raw_orders o ON p.order_id = o.order_id""",
+        SELECT payment_type, payment_value, order_purchase_timestamp
+        FROM raw_payments LEFT JOIN raw_orders USING (order_id)""",
     "delay": """
         SELECT *, CASE WHEN order_delivered_customer_date > order_estimated_delivery_date
                        THEN 1 ELSE 0 END AS is_delayed,

@@ -21,6 +21,7 @@ from shopmart.operators.topk import earliest, largest
 ORDER_ATTRIBUTES = ("order_status", "order_purchase_timestamp")
 CUSTOMER_ATTRIBUTES = ("customer_city", "customer_state")
 
+# Columns of the wide view.
 JOINED_COLUMNS = (
     "order_item_key",
     "order_id",

@@ -16,7 +16,7 @@ def _table(*columns: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, dtype) for name, dtype in columns])
 
 
-# Columns every source file of the table must have. Zip prefixes are strings:
+# Columns every source file of the table must have. Zip prefixes are strings:
 # inferred as integers they would lose their leading zeros.
 RAW_SCHEMAS: dict[str, T.StructType] = {
     "customers": _table(
@@ -90,6 +90,7 @@ RAW_TABLES = tuple(RAW_SCHEMAS)
 
 PRODUCT_SIZES = tuple(RAW_SCHEMAS["products"].fieldNames()[2:])
 
+# Names and columns of the models.
 GOLD_TABLES = (
     "dim_customers",
     "dim_products",

@@ -142,6 +142,31 @@ def test_adaptive_planner_splits_items_and_payments(spark, skewed, orders, tmp_p
         assert "skew=true" in final_plan(marts.payment_value_by_month(view))
 
 
+def test_adaptive_planner_splits_a_hot_customer(spark, tmp_path):
+    """A third of the orders belong to one customer."""
+    ids = spark.range(60_000).select(F.col("id").cast("string").alias("order_id"), "id")
+    bought = F.lit("2017-01-01 00:00:00").cast("timestamp")
+    guest = F.when(F.col("id") % 3 == 0, "guest").otherwise(F.md5("order_id"))
+    orders = ids.select(
+        "order_id",
+        guest.alias("customer_id"),
+        F.lit("delivered").alias("order_status"),
+        bought.alias("order_purchase_timestamp"),
+        bought.alias("order_delivered_customer_date"),
+    )
+    customers = orders.select("customer_id").distinct().select(
+        "customer_id", F.lit("x").alias("customer_city"), F.lit("X").alias("customer_state")
+    )
+    orders = saved(spark, orders.repartition(4), tmp_path / "orders")
+    customers = saved(spark, customers, tmp_path / "customers")
+    reviews = saved(
+        spark, ids.select("order_id", F.lit(4).alias("review_score")), tmp_path / "reviews"
+    )
+    measures = g.order_measures(orders, reviews, *marts.ORDER_ATTRIBUTES)
+    with settings(spark, **SKEW_SETTINGS):
+        assert "skew=true" in final_plan(marts.with_customer(measures, customers))
+
+
 def test_sums_per_order_are_reduced_before_the_shuffle(spark, skewed, orders):
     dated = orders.withColumns(
         {
