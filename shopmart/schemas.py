@@ -88,6 +88,13 @@ RAW_SCHEMAS: dict[str, T.StructType] = {
 
 RAW_TABLES = tuple(RAW_SCHEMAS)
 
+# Times that source files may hold besides; other further columns are text.
+OPTIONAL_TYPES: dict[str, T.DataType] = {
+    "shipping_limit_date": _TS,
+    "review_creation_date": _TS,
+    "review_answer_timestamp": _TS,
+}
+
 PRODUCT_SIZES = tuple(RAW_SCHEMAS["products"].fieldNames()[2:])
 
 # Names and columns of the models.

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopmart.schemas import RAW_SCHEMAS, RAW_TABLES
+from shopmart.schemas import OPTIONAL_TYPES, RAW_SCHEMAS, RAW_TABLES
 
 SUFFIX = "_dataset"
 PATTERN = "*.csv"
@@ -82,14 +82,15 @@ def _reader(spark: SparkSession, multi_line: bool) -> DataFrameReader:
 def declared_schema(table: str, header: Sequence[str]) -> T.StructType:
     """Types for the columns of a file, in the order of its header.
 
-    Declared columns get their declared type; further columns are kept as text.
+    Declared columns get their declared type; further columns are kept, as text
+    unless their type is known.
     """
     declared = RAW_SCHEMAS.get(table, T.StructType())
     missing = [name for name in declared.fieldNames() if name not in header]
     if missing:
         raise ValueError(f"table {table!r} lacks columns {missing}; its header is {list(header)}")
-    known = {field.name: field for field in declared}
-    return T.StructType([known.get(name, T.StructField(name, T.StringType())) for name in header])
+    types = OPTIONAL_TYPES | {field.name: field.dataType for field in declared}
+    return T.StructType([T.StructField(name, types.get(name, T.StringType())) for name in header])
 
 
 def read_csv(

@@ -1,0 +1,103 @@
+"""Registered queries on tables where single keys hold a third of the rows."""
+
+import pyarrow.parquet as pq
+import pyarrow as pa
+import pytest
+from oracle_check import TABLES, connect, duck_rows, spark_rows
+
+import __spark_entry__ as entry_point
+from shopmart.operators import joins
+
+QUERIES = entry_point.queries()
+SQL = entry_point.oracle_sql()
+
+# Table, column and the value given to every third row.
+HOT = [
+    ("lineitem", "l_orderkey", 7),
+    ("lineitem", "l_partkey", 5),
+    ("lineitem", "l_suppkey", 3),
+    ("orders", "o_custkey", 11),
+    ("events", "event_id", 14),
+    ("customer", "c_nationkey", 4),
+    ("supplier", "s_nationkey", 4),
+]
+# Every seventh value of these is missing.
+MISSING = [("lineitem", "l_suppkey"), ("orders", "o_custkey"), ("customer", "c_nationkey")]
+
+JOINING = [
+    "bi_delivery_by_state",
+    "bi_monthly_revenue",
+    "bi_payment_trends",
+    "bi_revenue_by_category",
+    "bi_review_by_category",
+    "bi_sales_by_state",
+    "bi_top_sellers",
+    "dim_customers",
+    "dim_products",
+    "dim_sellers",
+    "dq_unique",
+    "duplicate_profile",
+    "dw_joined",
+    "dw_payments_joined",
+    "fact_order_items",
+    "join_fanout_check",
+    "ml_delay_features",
+    "silver_geolocation",
+]
+
+
+@pytest.fixture(scope="module")
+def skewed_dir(sf_small, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("skewed")
+    for name in TABLES:
+        table = pq.read_table(f"{sf_small}/{name}.parquet")
+        for hot_table, column, value in HOT:
+            if hot_table == name:
+                values = table.column(column).to_pylist()
+                values[::3] = [value] * len(values[::3])
+                table = replace(table, column, values)
+        for missing_table, column in MISSING:
+            if missing_table == name:
+                values = table.column(column).to_pylist()
+                values[1::7] = [None] * len(values[1::7])
+                table = replace(table, column, values)
+        pq.write_table(table, folder / f"{name}.parquet")
+    return str(folder)
+
+
+def replace(table, column, values):
+    index = table.schema.get_field_index(column)
+    array = pa.array(values, type=table.schema.field(column).type)
+    return table.set_column(index, column, array)
+
+
+@pytest.fixture
+def small_counts_are_hot(monkeypatch):
+    found = []
+    search = joins.hot_keys
+
+    def hot_keys(df, key):
+        found.append(search(df, key, fraction=1.0, min_sampled=20))
+        return found[-1]
+
+    monkeypatch.setattr(joins, "hot_keys", hot_keys)
+    return found
+
+
+@pytest.fixture(scope="module")
+def duck(skewed_dir):
+    con = connect(skewed_dir)
+    yield con
+    con.close()
+
+
+@pytest.mark.parametrize("name", JOINING)
+def test_query_equals_sql_on_skewed_tables(spark, duck, skewed_dir, small_counts_are_hot, name):
+    columns, rows = spark_rows(QUERIES[name](spark, skewed_dir))
+    expected_columns, expected = duck_rows(duck, SQL[name])
+    assert columns == expected_columns
+    assert rows == expected
+    if name in ("fact_order_items", "dw_joined", "bi_review_by_category"):
+        assert small_counts_are_hot == [[7]]
+    if name == "dim_customers":
+        assert None in small_counts_are_hot[0] and 4 in small_counts_are_hot[0]
