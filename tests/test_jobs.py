@@ -55,6 +55,17 @@ def test_run_all(spark, tmp_path, orders):
     assert float(total) == 1320.0
 
 
+def test_a_second_run_replaces_the_first(spark, tmp_path, orders):
+    items = [(o[0], 1, "p1", "s1", "10.00", "1.00") for o in orders]
+    dst = str(tmp_path / "dst")
+    for run, n in (("one", 120), ("two", 60)):
+        write_shop(tmp_path / run, orders[:n], items)
+        summary = jobs.run_all(spark, str(tmp_path / run), dst, "again_raw", "again_dw")
+        assert summary.rows["dim_orders"] == summary.rows["fact_order_items"] == n
+        fact = catalog.read_table(spark, "again_dw", "fact_order_items")
+        assert fact.count() == spark.table("dw_joined").count() == n
+
+
 def test_failing_test_stops_the_chain(spark, tmp_path, orders):
     write_shop(tmp_path / "src", [*orders, orders[0]], [])
     with pytest.raises(jobs.QualityError, match="dim_orders.order_id unique: 1"):
