@@ -7,6 +7,7 @@ costs the tasks it ran rather than the whole lineage.
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,21 +40,24 @@ def ingest(
     spark: SparkSession,
     src: str,
     dst: str,
+    prefix: str | None = None,
     coalesce: int | None = None,
     rebalance: bool = False,
-    multi_line: bool = True,
+    multi_line: bool | Collection[str] = True,
     infer: bool = False,
 ) -> dict[str, int]:
-    """Every CSV table under ``src`` as a Parquet dataset under ``dst``; rows per table."""
-    return {
-        table: write_table(
-            read_csv(spark, table, source, multi_line=multi_line, infer=infer),
-            f"{dst.rstrip('/')}/{table}",
-            coalesce=coalesce,
-            rebalance=rebalance,
-        )
-        for table, source in list_csv(spark, src).items()
-    }
+    """Every CSV table under ``src`` as a Parquet dataset under ``dst``; rows per table.
+
+    ``multi_line`` may name the tables with line breaks in their fields. The files of
+    all others are then split over tasks; a line break in one of them raises.
+    """
+    rows = {}
+    for table, source in list_csv(spark, src, prefix).items():
+        breaks = multi_line if isinstance(multi_line, bool) else table in multi_line
+        frame = read_csv(spark, table, source, multi_line=breaks, infer=infer)
+        path = f"{dst.rstrip('/')}/{table}"
+        rows[table] = write_table(frame, path, coalesce=coalesce, rebalance=rebalance)
+    return rows
 
 
 def build_models(spark: SparkSession, raw_base: str, dst: str) -> dict[str, int]:
@@ -117,13 +121,15 @@ def run_all(
     dst: str,
     raw_database: str = "shop_raw",
     gold_database: str = "shop_dw",
-    coalesce: int | None = None,
-    rebalance: bool = False,
+    **ingest_options,
 ) -> RunSummary:
-    """All stages in order. A failing stage raises and the later ones do not run."""
+    """All stages in order. A failing stage raises and the later ones do not run.
+
+    ``ingest_options`` are those of ``ingest``.
+    """
     raw_base, gold_base = f"{dst.rstrip('/')}/raw", f"{dst.rstrip('/')}/warehouse"
-    rows = ingest(spark, src, raw_base, coalesce=coalesce, rebalance=rebalance)
-    catalog.register_all(spark, raw_database, raw_base, list(rows))
+    rows = ingest(spark, src, raw_base, **ingest_options)
+    catalog.register_all(spark, raw_database, raw_base, RAW_TABLES)
     rows |= build_models(spark, raw_base, gold_base)
     models = (SILVER, *GOLD_TABLES)
     catalog.register_all(spark, gold_database, gold_base, models)

@@ -17,9 +17,14 @@ SUFFIX = "_dataset"
 PATTERN = "*.csv"
 
 
-def table_name(stem: str) -> str:
-    """Table of a file named ``<prefix>_<table>_dataset`` with optional prefix and suffix."""
+def table_name(stem: str, prefix: str | None = None) -> str:
+    """Table of a file named ``<prefix><table>_dataset``, where both ends may be missing.
+
+    Without a ``prefix``, whatever precedes the name of a raw table is one.
+    """
     name = stem.removesuffix(SUFFIX)
+    if prefix is not None:
+        return name.removeprefix(prefix)
     known = [t for t in RAW_TABLES if name == t or name.endswith(f"_{t}")]
     return max(known, key=len) if known else name
 
@@ -32,7 +37,7 @@ class CsvTable:
     first_file: str
 
 
-def list_csv(spark: SparkSession, src: str) -> dict[str, CsvTable]:
+def list_csv(spark: SparkSession, src: str, prefix: str | None = None) -> dict[str, CsvTable]:
     """Tables under ``src``, on any file system Spark can read.
 
     A file directly in ``src`` is a table by its own name; files in a subfolder
@@ -58,7 +63,7 @@ def list_csv(spark: SparkSession, src: str) -> dict[str, CsvTable]:
     )
     tables: dict[str, CsvTable] = {}
     for row in found:
-        name = table_name(row.table_path.rsplit("/", 1)[-1].removesuffix(".csv"))
+        name = table_name(row.table_path.rsplit("/", 1)[-1].removesuffix(".csv"), prefix)
         if name in tables:
             raise ValueError(f"two sources for table {name!r} in {src}")
         tables[name] = CsvTable(row.table_path, row.first_file)

@@ -49,6 +49,19 @@ def test_table_names(stem, table):
     assert table_name(stem) == table
 
 
+def test_a_given_prefix_is_taken_literally():
+    assert table_name("acme_orders_dataset", "acme_") == "orders"
+    assert table_name("old_orders_dataset", "acme_") == "old_orders"
+
+
+def test_line_breaks_in_a_single_line_table_raise(spark, tmp_path):
+    put(tmp_path / "src" / "order_reviews.csv", REVIEWS)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        ingest(spark, str(tmp_path / "src"), str(tmp_path / "out"), multi_line=["orders"])
+    rows = ingest(spark, str(tmp_path / "src"), str(tmp_path / "out"), multi_line=["order_reviews"])
+    assert rows == {"order_reviews": 2}
+
+
 def test_ingest(spark, tmp_path):
     src, dst = tmp_path / "csv in", tmp_path / "out"
     put(src / "acme_order_reviews_dataset.csv", REVIEWS)

@@ -37,10 +37,9 @@ def orders():
 
 def test_run_all(spark, tmp_path, orders):
     items = [(o[0], 1, "p1", "s1", "10.00", "1.00") for o in orders]
-    write_shop(tmp_path / "src", orders, items)
-    summary = jobs.run_all(
-        spark, str(tmp_path / "src"), str(tmp_path / "dst"), "run_raw", "run_dw", coalesce=1
-    )
+    dst = str(tmp_path / "dst")
+    write_shop(tmp_path / "one", orders, items)
+    summary = jobs.run_all(spark, str(tmp_path / "one"), dst, "run_raw", "run_dw", coalesce=1)
     assert set(summary.rows) == {*RAW_TABLES, jobs.SILVER, *GOLD_TABLES}
     assert summary.rows["orders"] == summary.rows["fact_order_items"] == 120
     assert summary.rows[jobs.SILVER] == 2
@@ -54,16 +53,14 @@ def test_run_all(spark, tmp_path, orders):
     total = spark.sql("SELECT sum(item_revenue) AS s FROM run_dw.fact_order_items").first().s
     assert float(total) == 1320.0
 
-
-def test_a_second_run_replaces_the_first(spark, tmp_path, orders):
-    items = [(o[0], 1, "p1", "s1", "10.00", "1.00") for o in orders]
-    dst = str(tmp_path / "dst")
-    for run, n in (("one", 120), ("two", 60)):
-        write_shop(tmp_path / run, orders[:n], items)
-        summary = jobs.run_all(spark, str(tmp_path / run), dst, "again_raw", "again_dw")
-        assert summary.rows["dim_orders"] == summary.rows["fact_order_items"] == n
-        fact = catalog.read_table(spark, "again_dw", "fact_order_items")
-        assert fact.count() == spark.table("dw_joined").count() == n
+    # A second run replaces everything.
+    write_shop(tmp_path / "two", orders[:60], items)
+    again = jobs.run_all(
+        spark, str(tmp_path / "two"), dst, "run_raw", "run_dw", multi_line=["order_reviews"]
+    )
+    assert again.rows["dim_orders"] == again.rows["fact_order_items"] == 60
+    fact = catalog.read_table(spark, "run_dw", "fact_order_items")
+    assert fact.count() == spark.table("dw_joined").count() == 60
 
 
 def test_failing_test_stops_the_chain(spark, tmp_path, orders):
