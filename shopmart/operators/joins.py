@@ -86,7 +86,9 @@ def lookup_join(
     return salted_many.join(salted_one, [key, _SALT], how).drop(_SALT)
 
 
-def fanout(name: str, left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> DataFrame:
+def fanout(
+    name: str, left: DataFrame, left_key: str, right: DataFrame, right_key: str
+) -> DataFrame:
     """How far a left join on the keys would multiply rows, without running it.
 
     One row: rows of the left side, keys that repeat on the right and the most

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,10 +81,7 @@ def _fanouts(raw: RawTables) -> DataFrame:
         fanout("items_reviews", items, "order_id", raw["order_reviews"], "order_id"),
         fanout("items_payments", items, "order_id", raw["order_payments"], "order_id"),
     ]
-    first, *rest = reports
-    for report in rest:
-        first = first.unionByName(report)
-    return first
+    return reduce(DataFrame.unionByName, reports)
 
 
 def _checked(raw: RawTables, chosen: list[Check]) -> DataFrame:

@@ -16,7 +16,9 @@ from shopmart.functions import columns as c
     ],
 )
 def test_calendar_days(spark, end, start, days):
-    df = spark.range(1).select(F.lit(end).cast("timestamp").alias("e"), F.lit(start).cast("timestamp").alias("s"))
+    df = spark.range(1).select(
+        F.lit(end).cast("timestamp").alias("e"), F.lit(start).cast("timestamp").alias("s")
+    )
     assert df.select(c.days_between(F.col("e"), F.col("s"))).first()[0] == days
 
 
@@ -39,7 +41,8 @@ def test_missing_parts_make_missing_values(spark):
 
 def test_delay_flag(spark):
     df = spark.sql(
-        "SELECT * FROM VALUES (2, 1), (1, 1), (0, 1), (NULL, 1), (1, NULL) AS t(delivered, estimated)"
+        "SELECT * FROM VALUES (2, 1), (1, 1), (0, 1), (NULL, 1), (1, NULL) "
+        "AS t(delivered, estimated)"
     )
     flags = df.select(c.delayed_flag(F.col("delivered"), F.col("estimated")).alias("f")).collect()
     assert [r.f for r in flags] == [1, 0, 0, 0, 0]

@@ -25,9 +25,15 @@ def history(spark):
         bought = start + timedelta(days=i % 50)
         promised = 3 + (i * 7) % 25
         took = 5 + (i * 13) % 20
-        rows.append((f"o{i}", f"c{i % 90}", bought, bought + timedelta(days=took), bought + timedelta(days=promised)))
-    names = ["order_id", "customer_id", "order_purchase_timestamp",
-             "order_delivered_customer_date", "order_estimated_delivery_date"]
+        delivered, estimated = bought + timedelta(days=took), bought + timedelta(days=promised)
+        rows.append((f"o{i}", f"c{i % 90}", bought, delivered, estimated))
+    names = [
+        "order_id",
+        "customer_id",
+        "order_purchase_timestamp",
+        "order_delivered_customer_date",
+        "order_estimated_delivery_date",
+    ]
     return spark.newSession().createDataFrame(rows, names)
 
 

@@ -33,7 +33,8 @@ def skewed(spark, tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def orders(spark):
-    ids = spark.range(4000).select(F.concat(F.lit("o"), F.col("id").cast("string")).alias("order_id"))
+    named = F.concat(F.lit("o"), F.col("id").cast("string"))
+    ids = spark.range(4000).select(named.alias("order_id"))
     return ids.union(spark.sql("SELECT 'hot'")).select(
         "order_id", F.md5("order_id").alias("customer_id")
     )
@@ -117,7 +118,9 @@ def test_adaptive_planner_splits_the_wide_view(spark, skewed, tmp_path):
     """A product and a seller with half of the rows: both joins of the view are split."""
     sides = skewed.select("product_id", "seller_id").distinct()
     products = sides.select("product_id", F.lit("x").alias("product_category_name_english"))
-    sellers = sides.select("seller_id", F.lit("a").alias("seller_city"), F.lit("b").alias("seller_state"))
+    sellers = sides.select(
+        "seller_id", F.lit("a").alias("seller_city"), F.lit("b").alias("seller_state")
+    )
     products = saved(spark, products.distinct(), tmp_path / "p")
     sellers = saved(spark, sellers.distinct(), tmp_path / "s")
     extra = [c for c in marts.JOINED_COLUMNS if c not in skewed.columns]

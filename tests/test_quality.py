@@ -29,7 +29,9 @@ def test_report_on_the_shop(gold):
 
 
 def test_unique_counts_values_and_skips_null(spark):
-    df = spark.sql("SELECT * FROM VALUES ('a'), ('a'), ('a'), ('b'), ('b'), ('c'), (NULL), (NULL) AS t(k)")
+    df = spark.sql(
+        "SELECT * FROM VALUES ('a'), ('a'), ('a'), ('b'), ('b'), ('c'), (NULL), (NULL) AS t(k)"
+    )
     rows = tuples(run_checks({"t": df}, [unique("t", "k"), not_null("t", "k")]))
     assert rows == [("t", "k", "not_null", 2), ("t", "k", "unique", 2)]
 
