@@ -55,7 +55,8 @@ def with_order(fact: DataFrame, dim_orders: DataFrame, dim_customers: DataFrame)
     """Fact rows with the attributes of their order and its customer.
 
     The customer is attached to the orders and both arrive in one join, so the
-    fact is not shuffled a second time for the customer alone.
+    fact is not shuffled a second time for the customer alone. ``fact`` is the
+    written table, as ``lookup_join`` asks for.
     """
     orders = with_customer(
         dim_orders.select("order_id", "customer_id", *ORDER_ATTRIBUTES), dim_customers

@@ -14,6 +14,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Merged partitions, and with them output files, of a size worth a task.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
 
