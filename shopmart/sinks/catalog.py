@@ -7,6 +7,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Fixed value: the names that are accepted.
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 
