@@ -5,11 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmart.llm import bpe, fingerprints, neighbours, packing, simhash, token_files, warc
-from shopmart.llm.common import documents, new_folder, ship
+from shopmart.llm import (
+    bpe,
+    fingerprints,
+    neighbours,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    token_files,
+    url_lists,
+    warc,
+)
+from shopmart.llm.common import documents, new_folder, ship, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +47,39 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    labels = table(spark, sf_dir, "labels")
+    found = quality.classify(documents(spark, sf_dir), labels)
+    return found.select(
+        "doc_id", "lang", F.round("perplexity", 6).alias("perplexity"), F.round("threshold", 6).alias("threshold"), "is_kept"
+    )
+
+
+def dictionary() -> frozenset[str]:
+    return secret_scan.read_dictionary(public_tokenizers.path(RANKS_FILE))
+
+
+def secret_forest(docs: DataFrame) -> secret_scan.Forest:
+    """A forest trained on findings in ``docs``, which a rule labels."""
+    found = stored(secret_scan.findings(docs, dictionary()), "secret-candidates")
+    return secret_scan.train(found)
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    docs = documents(spark, sf_dir)
+    found = secret_scan.scan(docs, secret_forest(docs), dictionary())
+    return found.select(
+        "doc_id",
+        "start",
+        F.char_length("candidate").cast("long").alias("length"),
+        F.sha2(F.col("candidate").cast("binary"), 256).alias("candidate_sha256"),
+        F.round("score", 6).alias("score"),
+        "is_secret",
+    )
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     path = public_tokenizers.path(IDS_FILE)
@@ -78,6 +122,86 @@ def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0)
 
 
+MINUTES = 525_600
+
+
+def _minute(spread: int) -> Column:
+    """A moment of 2024 that follows from the page's id, as pages have no time of fetch."""
+    minute = F.pmod(F.col("page_id") * spread, F.lit(MINUTES))
+    return F.timestamp_seconds(F.lit(1_704_067_200) + 60 * minute)
+
+
+def captures_and_entries(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every page as a capture, and every page's report as a dated list entry: its host, the
+    domain above that or the page itself goes on one of five lists, or off it."""
+    captures = pages.select("page_id", "url", _minute(7919).alias("fetched_at"))
+    above = url_lists.parents(url_lists.host(F.col("url")))
+    n = F.octet_length("html")
+    key = (
+        F.when(n % 7 == 0, F.concat(F.lit("page:"), url_lists.page_key(F.col("url"))))
+        .when(n % 2 == 0, F.concat(F.lit("domain:"), F.get(above, F.lit(0))))
+        .otherwise(F.concat(F.lit("domain:"), F.get(above, F.size(above) - 1)))
+    )
+    entries = pages.select(
+        F.concat(F.lit("list"), (F.length("url") % 5).cast("string")).alias("list"),
+        key.alias("key"),
+        _minute(104_729).alias("at"),
+        (n % 3 != 0).alias("is_listed"),
+    )
+    return captures, entries
+
+
+def op8_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures, entries = captures_and_entries(table(spark, sf_dir, "pages"))
+    found = url_lists.filter_captures(captures, entries)
+    return found.select(
+        "page_id",
+        F.unix_seconds("fetched_at").alias("fetched_s"),
+        F.array_join("lists", ",").alias("lists"),
+        "is_blocked",
+    )
+
+
+OP8_SQL = r"""
+WITH p AS (
+  SELECT page_id, url, octet_length(encode(html)) AS n,
+         regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '\.$', '') AS host,
+         regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1), '/+$', '') AS path
+  FROM pages
+), q AS (
+  SELECT *, string_split(host, '.') AS labels,
+         1704067200 + 60 * ((page_id * 7919) % 525600) AS fetched,
+         1704067200 + 60 * ((page_id * 104729) % 525600) AS reported
+  FROM p
+), r AS (
+  SELECT *, list_transform(range(1, greatest(len(labels) - 1, 1) + 1),
+                           lambda k: array_to_string(labels[k:], '.')) AS above
+  FROM q
+), entries AS (
+  SELECT 'list' || (length(url) % 5) AS list,
+         CASE WHEN n % 7 = 0 THEN 'page:' || host || path
+              WHEN n % 2 = 0 THEN 'domain:' || above[1]
+              ELSE 'domain:' || above[len(above)] END AS key,
+         reported AS at, min(n % 3 <> 0) AS is_listed
+  FROM r GROUP BY ALL
+), asked AS (
+  SELECT page_id, fetched, 'page:' || host || path AS key FROM r
+  UNION SELECT page_id, fetched, 'domain:' || unnest(above) FROM r
+), pairs AS (
+  SELECT a.page_id, a.fetched, a.key, k.list
+  FROM asked a JOIN (SELECT DISTINCT list, key FROM entries) k USING (key)
+), found AS (
+  SELECT DISTINCT c.page_id, c.list
+  FROM pairs c ASOF JOIN entries e ON c.key = e.key AND c.list = e.list AND c.fetched >= e.at
+  WHERE e.is_listed
+)
+SELECT r.page_id, r.fetched AS fetched_s,
+       coalesce(string_agg(f.list, ',' ORDER BY f.list), '') AS lists, count(f.list) > 0 AS is_blocked
+FROM r LEFT JOIN found f ON r.page_id = f.page_id
+GROUP BY r.page_id, r.fetched
+"""
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     path = public_tokenizers.path(IDS_FILE)
@@ -95,14 +219,17 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_warc": op1_warc,
+        "op2_quality": op2_quality,
+        "op3_secrets": op3_secrets,
         "op4_packing": op4_packing,
         "op5_fingerprints": op5_fingerprints,
         "op6_simhash": op6_simhash,
         "op7_neighbours": op7_neighbours,
+        "op8_url_lists": op8_url_lists,
         "op9_token_files": op9_token_files,
         "op10_bpe": op10_bpe,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_url_lists": OP8_SQL}
