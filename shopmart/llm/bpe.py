@@ -24,6 +24,7 @@ import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopmart.llm.tokens import shown_bytes, text_slices
 
@@ -148,7 +149,7 @@ def encode_column(docs: DataFrame, ranks: str, pattern: str, text_col: str = "te
                 ids = [own.encode(t or "") for t in part.column(text_col).to_pylist()]
                 yield part.append_column("ids", pa.array(ids, pa.list_(pa.int32())))
 
-    schema = docs.schema.add("ids", "array<int>")
+    schema = T.StructType([*docs.schema, T.StructField("ids", T.ArrayType(T.IntegerType()))])
     return docs.mapInArrow(run, schema)
 
 
@@ -161,7 +162,8 @@ def decode_column(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
             raw = [None if x is None else own.decode(x) for x in batch.column("ids").to_pylist()]
             yield batch.append_column("decoded", pa.array(raw, pa.binary()))
 
-    return encoded.mapInArrow(run, encoded.schema.add("decoded", "binary"))
+    schema = T.StructType([*encoded.schema, T.StructField("decoded", T.BinaryType())])
+    return encoded.mapInArrow(run, schema)
 
 
 def round_trip(

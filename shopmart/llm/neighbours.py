@@ -172,6 +172,7 @@ def search(
     """The k nearest found of each query, a row of ``vectors`` for which the
     condition ``query_ids`` holds, among all other rows: query_id, rank, id and score."""
     usable, size = _usable(vectors, id_col, vec_col)
+    size = max(1, size)  # no vectors at all
     directions = projections(size)
     n = usable.count()
 

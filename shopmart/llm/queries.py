@@ -61,9 +61,12 @@ def dictionary() -> frozenset[str]:
 
 
 def secret_forest(docs: DataFrame) -> secret_scan.Forest:
-    """A forest trained on findings in ``docs``, which a rule labels."""
-    found = stored(secret_scan.findings(docs, dictionary()), "secret-candidates")
-    return secret_scan.train(found)
+    """A forest trained on findings in ``docs``, which a rule labels, and reference findings."""
+    words = dictionary()
+    found = stored(secret_scan.findings(docs, words), "secret-candidates")
+    found = found.select("features", "label", "candidate", "start")
+    reference = docs.sparkSession.createDataFrame(secret_scan.reference_findings(words), found.schema)
+    return secret_scan.train(found.unionByName(reference))
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

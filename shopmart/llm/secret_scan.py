@@ -14,6 +14,8 @@ nothing to train on, and every candidate counts as a secret.
 
 from __future__ import annotations
 
+import base64
+import hashlib
 import math
 import re
 from collections import Counter
@@ -198,6 +200,57 @@ class Forest:
         return total / len(self.trees) if self.trees else 1.0
 
 
+# Contexts of reference findings, with what stands in them.
+SECRET_CONTEXTS = (
+    ("app/settings.py", 'token = "{hex}"'), ("notes.txt", "the api key: {mixed} was"),
+    ("deploy/prod.env", "AWS_SECRET_ACCESS_KEY={base64}"), ("client.js", "Authorization: Bearer {mixed}"),
+    ("db.yml", 'password: "{mixed}"'), ("", "SECRET = '{base64}'!!"), ("", 'TOKEN = "{upper_hex}"!! THE'),
+    ("config.json", '"private_key": "{base64}"'), ("", "auth_token={hex} and"),
+)
+OTHER_CONTEXTS = (
+    ("", "see https://www.example.com/en/{digits}{word}/{digits} and"), ("", "http://x.net/{word}/{word}-{word}/{digits}.html"),
+    ("CHANGES.md", "commit {hex} merged"), ("lock.json", '"integrity": "sha256-{base64}"'),
+    ("index.html", '<img src="data:image/png;base64,{base64}{base64}">'), ("", "the {camel} of the {camel}"),
+    ("", "call {digits}{digits} now"), ("test/test_auth.py", 'token = "example-{word}-1234567890"'),
+    ("README.md", 'api_key = "your-{word}-key-here-0000"'), ("", "by nt.{digits}{word}{word}@mail.example.com of"),
+    ("models.py", "id: {uuid},"), ("", "{word}{word}1{word} in {word}_{word}_{digits}"),
+)
+REFERENCE_ROUNDS = 25
+
+
+def _fill(template: str, k: int) -> str:
+    """A context with values that follow from its number."""
+    seed = hashlib.sha512(f"{template} {k}".encode())
+    hexes = seed.hexdigest()
+    mixed = "".join(c for c in base64.b64encode(seed.digest()).decode() if c.isalnum())
+    # Syllables to make words of.
+    syllables = ("the", "ing", "tion", "an", "er", "de", "la", "que", "ver", "ment", "es", "on")
+    word = "".join(syllables[b % len(syllables)] for b in seed.digest()[: 3 + k % 4])
+    values = {
+        "hex": hexes[: (40, 32, 64)[k % 3]],
+        "upper_hex": hexes[:40].upper(),
+        "base64": base64.b64encode(seed.digest()[: 24 + 6 * (k % 3)]).decode(),
+        "mixed": mixed[: 20 + 4 * (k % 6)],
+        "digits": str(int(hexes[:16], 16))[: 8 + k % 5],
+        "word": word,
+        "camel": "".join(s.capitalize() for s in (word, word[::2], word)),
+        "uuid": "-".join((hexes[:8], hexes[8:12], hexes[12:16], hexes[16:20], hexes[20:32])),
+    }
+    return template.format(**values)
+
+
+def reference_findings(dictionary: frozenset[str]) -> list[tuple[list[float], float, str, int]]:
+    """Labelled findings (features, label, candidate, start) in contexts of known kind, so that
+    a corpus with secrets of one kind alone does not set the rule for all."""
+    out = []
+    for label, contexts in ((1.0, SECRET_CONTEXTS), (0.0, OTHER_CONTEXTS)):
+        for path, template in contexts:
+            for k in range(REFERENCE_ROUNDS):
+                for c in candidates(_fill(template, k), path, dictionary):
+                    out.append((c.features, label, c.text, c.start))
+    return out
+
+
 def train(labelled: DataFrame, max_findings: int = MAX_FINDINGS) -> Forest:
     """A forest from ``features`` and ``label``. Both kinds have at most half of
     ``max_findings``, chosen by a hash of the finding, and weigh the same in total."""

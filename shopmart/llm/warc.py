@@ -241,7 +241,7 @@ class WarcReader(DataSourceReader):
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         files, _ = open_folder(self.folder)
-        for path in partition.paths:
+        for path in partition.paths if partition else []:  # an empty folder has no partition
             with files.open_input_file(path) as raw:
                 # A gzipped archive is read as the text of its members.
                 stream = gzip.open(raw) if path.endswith(".gz") else io.BufferedReader(raw, 1 << 20)
