@@ -1,90 +1,10 @@
-"""Many-to-one joins that keep their speed when one key holds much of the rows.
-
-Where both inputs of a join are shuffled only for that join, Spark's adaptive
-skew-join splits a hot partition by itself and a plain ``join`` is used. It
-cannot do so when the one-side is already partitioned by the key, because it
-comes from an aggregation or another join on that key. ``lookup_join`` is for
-those places.
-"""
+"""How far a join multiplies rows."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from typing import Any
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# One key is hot when about HOT_MIN_SAMPLED / HOT_FRACTION = one million rows
-# have it. At most HOT_MAX keys are treated apart, so the list is small
-# whatever the data; a key that ranks lower has under 1/HOT_MAX of the rows.
-HOT_FRACTION = 0.001
-HOT_MIN_SAMPLED = 1000
-HOT_MAX = 1000
-
-_SALT = "__salt"
-
-
-def hot_keys(
-    df: DataFrame,
-    key: str,
-    fraction: float = HOT_FRACTION,
-    min_sampled: int = HOT_MIN_SAMPLED,
-) -> list[Any]:
-    """Keys (NULL counts as one) with very many rows, most frequent first.
-
-    The estimate reads the key column alone and is used to lay rows out over
-    tasks, never to choose which rows take part in a result.
-    """
-    counted = (
-        df.select(key)
-        .sample(fraction=fraction, seed=17)
-        .groupBy(key)
-        .count()
-        .where(F.col("count") >= min_sampled)
-        .orderBy(F.desc("count"), F.asc(key))
-        .limit(HOT_MAX)
-    )
-    return [row[0] for row in counted.collect()]
-
-
-def lookup_join(
-    many: DataFrame,
-    one: DataFrame,
-    key: str,
-    how: str,
-    hot: Sequence[Any] | None = None,
-) -> DataFrame:
-    """Inner or left join of ``many`` to ``one`` on ``key``, safe against hot keys.
-
-    Without hot keys this is the plain join. Otherwise rows of a hot key are
-    dealt out over as many salts as there are shuffle partitions, and the
-    rows of ``one`` with such a key are repeated once per salt. Each row still meets
-    exactly the partners it would meet in the plain join, whatever ``hot`` holds.
-
-    ``many`` should be read from files: the order of rows in a scan task is
-    fixed, so a task that is run again deals out the same salts.
-    """
-    if how not in ("inner", "left"):
-        raise ValueError(f"lookup_join supports inner and left, not {how!r}")
-    if hot is None:
-        hot = hot_keys(many, key)
-    values = [value for value in hot if value is not None]
-    if how == "inner" and not values or not hot:
-        return many.join(one, key, how)
-
-    salts = int(many.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    is_hot = F.col(key).isin(values) if values else F.lit(False)
-    dealt = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
-    salted_many = many.withColumn(
-        _SALT, F.when(is_hot | F.col(key).isNull(), dealt).otherwise(F.lit(0))
-    )
-    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
-    salted_one = one.withColumn(
-        _SALT, F.explode(F.when(is_hot, all_salts).otherwise(F.array(F.lit(0))))
-    )
-    return salted_many.join(salted_one, [key, _SALT], how).drop(_SALT)
-
 
 def fanout(
     name: str, left: DataFrame, left_key: str, right: DataFrame, right_key: str

@@ -39,11 +39,11 @@ _CTES: dict[str, str] = {
         FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
         LEFT JOIN region ON n_regionkey = r_regionkey""",
     "raw_geolocation": """
-        SELECT c_nationkey AS geolocation_zip_code_prefix,
+        SELECT c_nationkey + 5 AS geolocation_zip_code_prefix,
                CAST(c_acctbal AS DECIMAL(12,2)) AS geolocation_lat,
                c_custkey AS geolocation_lng, c_mktsegment AS geolocation_city,
                n_name AS geolocation_state, c_custkey AS row_key
-        FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey WHERE c_nationkey < 20""",
+        FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""",
     "raw_products": """
         SELECT p_partkey AS product_id, p_type AS product_category_name,
                CAST(length(p_name) AS INTEGER) AS product_name_lenght,
@@ -71,6 +71,21 @@ _CTES: dict[str, str] = {
                min_by(geolocation_city, row_key) AS city,
                min_by(geolocation_state, row_key) AS state
         FROM raw_geolocation GROUP BY geolocation_zip_code_prefix""",
+    "silver_named": """
+        SELECT geolocation_zip_code_prefix,
+               CAST(sum(geolocation_lat) AS DOUBLE) / count(geolocation_lat) AS latitude,
+               CAST(sum(geolocation_lng) AS DOUBLE) / count(geolocation_lng) AS longitude,
+               min(row(geolocation_city, geolocation_state))[1] AS city,
+               min(row(geolocation_city, geolocation_state))[2] AS state
+        FROM raw_geolocation GROUP BY geolocation_zip_code_prefix""",
+    "customers_located": """
+        SELECT c.*, g.latitude AS customer_latitude, g.longitude AS customer_longitude
+        FROM raw_customers c LEFT JOIN silver_geo g
+        ON c.customer_zip_code_prefix = g.geolocation_zip_code_prefix""",
+    "sellers_located": """
+        SELECT s.*, g.latitude AS seller_latitude, g.longitude AS seller_longitude
+        FROM raw_sellers s LEFT JOIN silver_geo g
+        ON s.seller_zip_code_prefix = g.geolocation_zip_code_prefix""",
     "order_scores": """
         SELECT order_id, avg(review_score) AS review_score FROM raw_reviews GROUP BY order_id""",
     "products_en": """
@@ -183,6 +198,9 @@ def _fanout(name: str, left: str, left_key: str, right: str, right_key: str) ->
                CAST((SELECT count(*) FROM {left}) AS DOUBLE) AS joined_rows_after_grouping"""
 
 
+# The stated model of the registered queries.
+_MARGIN = "-1.25 + 0.031e0 * estimated_duration_days - 0.17e0 * purchase_day_of_week"
+
 _NOT_ACCEPTED = "order_status NOT IN (" + ", ".join(f"'{s}'" for s in ACCEPTED_STATUSES) + ")"
 
 _PIVOT = ", ".join(
@@ -195,15 +213,15 @@ _LISTED = ", ".join(f"'{t}'" for t in PAYMENT_TYPES)
 _GEO_CHECK = _not_null("silver_geolocation", "geolocation_zip_code_prefix", "silver_geo")
 _NOT_NULLS = [
     _GEO_CHECK,
-    _not_null("dim_customers", "customer_id", "raw_customers"),
-    _not_null("dim_customers", "customer_unique_id", "raw_customers"),
+    _not_null("dim_customers", "customer_id", "customers_located"),
+    _not_null("dim_customers", "customer_unique_id", "customers_located"),
     _not_null("dim_orders", "order_id", "raw_orders"),
     _not_null("fact_order_items", "order_id", "fact"),
     _not_null("fact_order_items", "order_item_id", "fact"),
     _not_null("fact_order_items", "price", "fact"),
 ]
 _UNIQUES = [
-    _unique("dim_customers", "customer_id", "raw_customers"),
+    _unique("dim_customers", "customer_id", "customers_located"),
     _unique("dim_orders", "order_id", "raw_orders"),
 ]
 _ACCEPTED = _check(
@@ -211,6 +229,10 @@ _ACCEPTED = _check(
 )
 
 
+def _groups(group: str, metric: str, alias: str, source: str) -> str:
+    return f"SELECT {group}, {metric} AS {alias} FROM {source} GROUP BY {group}"
+
+
 def _top(group: str, metric: str, alias: str, source: str, limit: int) -> str:
     return (
         f"SELECT {group}, {metric} AS {alias} FROM {source} GROUP BY {group} "
@@ -228,21 +250,20 @@ _QUERIES: dict[str, str] = {
         f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM {cte}"
         for name, cte in _RAW_NAMES.items()
     ),
-    "distinct_rows": "SELECT DISTINCT order_id, order_item_id FROM raw_items",
+    "distinct_rows": """
+        SELECT DISTINCT * REPLACE (CAST(price AS DOUBLE) AS price,
+                                   CAST(freight_value AS DOUBLE) AS freight_value)
+        FROM raw_items""",
+    "distinct_item_ids": "SELECT DISTINCT order_id, order_item_id FROM raw_items",
     "duplicate_profile": " UNION ALL ".join(
         [_profile(name, cte) for name, cte in _RAW_NAMES.items()]
         + [_profile("order_item_ids", "raw_items", "order_id, order_item_id")]
     ),
     "silver_geolocation": "SELECT * FROM silver_geo",
+    "silver_geolocation_by_name": "SELECT * FROM silver_named",
     "reviews_per_order": "SELECT * FROM order_scores",
-    "dim_customers": """
-        SELECT c.*, g.latitude AS customer_latitude, g.longitude AS customer_longitude
-        FROM raw_customers c LEFT JOIN silver_geo g
-        ON c.customer_zip_code_prefix = g.geolocation_zip_code_prefix""",
-    "dim_sellers": """
-        SELECT s.*, g.latitude AS seller_latitude, g.longitude AS seller_longitude
-        FROM raw_sellers s LEFT JOIN silver_geo g
-        ON s.seller_zip_code_prefix = g.geolocation_zip_code_prefix""",
+    "dim_customers": "SELECT * FROM customers_located",
+    "dim_sellers": "SELECT * FROM sellers_located",
     "dim_products": "SELECT * FROM products_en",
     "dim_orders": "SELECT * FROM raw_orders",
     "dim_payments": """
@@ -255,6 +276,10 @@ _QUERIES: dict[str, str] = {
         SELECT * REPLACE (CAST(price AS DOUBLE) AS price,
                           CAST(freight_value AS DOUBLE) AS freight_value,
                           CAST(item_revenue AS DOUBLE) AS item_revenue) FROM joined""",
+    "dw_joined_from_fact": """
+        SELECT * REPLACE (CAST(price AS DOUBLE) AS price,
+                          CAST(freight_value AS DOUBLE) AS freight_value,
+                          CAST(item_revenue AS DOUBLE) AS item_revenue) FROM joined""",
     "dw_payments_joined": """
         SELECT * REPLACE (CAST(payment_value AS DOUBLE) AS payment_value) FROM payments_joined""",
     "join_fanout_check": " UNION ALL ".join(
@@ -279,29 +304,31 @@ _QUERIES: dict[str, str] = {
     ),
     "bi_orders_over_time": f"""
         SELECT {_MONTH} AS order_month, count(*) AS order_count FROM raw_orders
-        GROUP BY 1 ORDER BY 1 LIMIT 10000""",
-    "bi_payment_methods": _top("payment_type", "count(*)", "payment_count", "raw_payments", 100),
+        GROUP BY 1""",
+    "bi_payment_methods": _groups("payment_type", "count(*)", "payment_count", "raw_payments"),
     "bi_top_cities": _top("customer_city", "count(*)", "customer_count", "raw_customers", 20),
     "bi_top_products": _top("product_id", _sum("price"), "total_revenue", "raw_items", 15),
-    "bi_order_status": _top("order_status", "count(*)", "order_count", "raw_orders", 50),
+    "bi_order_status": _groups("order_status", "count(*)", "order_count", "raw_orders"),
     "bi_monthly_revenue": f"""
         SELECT {_MONTH} AS order_month, {_sum("item_revenue")} AS revenue FROM joined
-        GROUP BY 1 ORDER BY 1 LIMIT 50000""",
+        GROUP BY 1""",
     "bi_revenue_by_category": _top(
         "product_category_name_english", _sum("item_revenue"), "revenue", "joined", 15
     ),
     "bi_top_sellers": _top("seller_id", _sum("item_revenue"), "revenue", "joined", 15),
-    "bi_sales_by_state": _top("customer_state", _sum("item_revenue"), "revenue", "joined", 30),
+    "bi_sales_by_state": _groups("customer_state", _sum("item_revenue"), "revenue", "joined"),
     "bi_delivery_by_state": _top(
         "customer_state", "avg(delivery_time_days)", "avg_delivery_days", "joined", 30
     ),
     "bi_payment_trends": f"""
         SELECT {_MONTH} AS order_month, payment_type, {_sum("payment_value")} AS total_value
-        FROM payments_joined GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 5000""",
+        FROM payments_joined GROUP BY 1, 2""",
     "bi_payment_trends_pivot": f"""
         SELECT {_MONTH} AS order_month, {_PIVOT},
-               CAST(sum(CASE WHEN payment_type IN ({_LISTED}) THEN NULL ELSE payment_value END)
-                   AS DOUBLE) AS other
+               CAST(sum(CASE WHEN payment_type NOT IN ({_LISTED}) THEN payment_value END)
+                   AS DOUBLE) AS other,
+               CAST(sum(CASE WHEN payment_type IS NULL THEN payment_value END)
+                   AS DOUBLE) AS unknown
         FROM payments_joined GROUP BY 1""",
     "bi_review_by_category": _top(
         "product_category_name_english", "avg(review_score)", "avg_review_score", "joined", 15
@@ -313,11 +340,26 @@ _QUERIES: dict[str, str] = {
         SELECT CASE WHEN order_id % 10 < 8 THEN 'train' ELSE 'test' END AS side,
                count(*) AS n_rows, CAST(sum(is_delayed) AS BIGINT) AS n_delayed
         FROM delay GROUP BY 1""",
+    "ml_scores": f"""
+        SELECT order_id, customer_id, is_delayed,
+               CAST({_MARGIN} > 0 AS DOUBLE) AS predicted_delay,
+               round(1 / (1 + exp(-({_MARGIN}))), 9) AS delayed_probability
+        FROM delay""",
+    "ml_auc_stated": f"""
+        SELECT n_rows, round((ranks - pos * (pos + 1) / 2) / (pos * (n_rows - pos)), 9) AS auc
+        FROM (SELECT count(*) AS n_rows, CAST(sum(is_delayed) AS DOUBLE) AS pos,
+                     CAST(sum(CASE WHEN is_delayed = 1 THEN mean_rank END) AS DOUBLE) AS ranks
+              FROM (SELECT is_delayed,
+                           rank() OVER (ORDER BY margin)
+                           + (count(*) OVER (PARTITION BY margin) - 1) / 2.0 AS mean_rank
+                    FROM (SELECT is_delayed, round({_MARGIN}, 12) AS margin FROM delay) m) r) s""",
+    "ml_test_orders": """
+        SELECT order_id, customer_id, is_delayed FROM delay WHERE order_id % 10 >= 8""",
     "dq_unique": " UNION ALL ".join(
         [
             *_UNIQUES,
             _unique("dim_products", "product_id", "products_en"),
-            _unique("dim_sellers", "seller_id", "raw_sellers"),
+            _unique("dim_sellers", "seller_id", "sellers_located"),
             _unique("fact_order_items", "order_item_key", "fact"),
         ]
     ),

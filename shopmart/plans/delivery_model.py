@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -57,27 +59,37 @@ def _weighted(features: DataFrame) -> DataFrame:
 
 
 def train(features: DataFrame) -> LogisticRegressionModel:
-    """Logistic regression on the two features.
+    """Logistic regression on the two features of every order.
 
-    Both features are small integers, so orders are counted per combination
-    once and every iteration runs over the weighted combinations. The loss is
-    the same as over single orders; only the first pass grows with the data.
-    The counts are kept for the length of the fit, which reads them many times.
+    The features, two small numbers and the label, are kept for the length of the fit,
+    which reads them once per iteration; the iterations are distributed.
     """
     stages = [
         VectorAssembler(inputCols=FEATURES, outputCol="features"),
         LogisticRegression(
-            featuresCol="features", labelCol=LABEL, weightCol="weight", maxIter=MAX_ITERATIONS
+            featuresCol="features", labelCol=LABEL, maxIter=MAX_ITERATIONS
         ),
     ]
-    weighted = _weighted(features).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = features.select(*FEATURES, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return Pipeline(stages=stages).fit(weighted).stages[-1]
+        return Pipeline(stages=stages).fit(rows).stages[-1]
     finally:
-        weighted.unpersist()
+        rows.unpersist()
+
+
+@dataclass(frozen=True)
+class Linear:
+    """A model of known coefficients, to score with as with a fitted one."""
+
+    intercept: float
+    coefficients: tuple[float, ...]
+    threshold: float = 0.5
+
+    def getThreshold(self) -> float:  # noqa: N802
+        return self.threshold
 
 
-def _margin(model: LogisticRegressionModel) -> Column:
+def _margin(model: LogisticRegressionModel | Linear) -> Column:
     """The model's linear score as a column, so that rows stay in generated code."""
     margin = F.lit(float(model.intercept))
     for name, weight in zip(FEATURES, model.coefficients, strict=True):
@@ -85,7 +97,7 @@ def _margin(model: LogisticRegressionModel) -> Column:
     return margin
 
 
-def predict(model: LogisticRegressionModel, features: DataFrame) -> DataFrame:
+def predict(model: LogisticRegressionModel | Linear, features: DataFrame) -> DataFrame:
     """Prediction and class probabilities per order; a map over the rows, no shuffle."""
     delayed = F.lit(1.0) / (F.lit(1.0) + F.exp(-_margin(model)))
     return features.withColumn("delayed", delayed).select(
@@ -97,9 +109,9 @@ def predict(model: LogisticRegressionModel, features: DataFrame) -> DataFrame:
     )
 
 
-def area_under_roc(model: LogisticRegressionModel, features: DataFrame) -> float:
+def area_under_roc(model: LogisticRegressionModel | Linear, features: DataFrame) -> float:
     """Area under the ROC curve; orders with equal features share one weighted point."""
     evaluator = BinaryClassificationEvaluator(
-        rawPredictionCol="margin", labelCol=LABEL, weightCol="weight"
+        rawPredictionCol="margin", labelCol=LABEL, weightCol="weight", numBins=0
     )
     return evaluator.evaluate(_weighted(features).withColumn("margin", _margin(model)))

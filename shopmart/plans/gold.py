@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopmart.functions.columns import days_between, item_revenue, order_item_key
-from shopmart.operators.joins import lookup_join
 from shopmart.plans.silver import ZIP
 from shopmart.schemas import FACT_COLUMNS, PRODUCT_SIZES, RAW_SCHEMAS
 
@@ -23,7 +22,7 @@ def _locate(df: DataFrame, geo: DataFrame, role: str) -> DataFrame:
         F.col("latitude").alias(f"{role}_latitude"),
         F.col("longitude").alias(f"{role}_longitude"),
     )
-    return lookup_join(df, centroids, zip_column, "left")
+    return df.join(centroids, zip_column, "left")
 
 
 def dim_customers(customers: DataFrame, geo: DataFrame) -> DataFrame:
@@ -89,12 +88,14 @@ def with_revenue(items: DataFrame) -> DataFrame:
 
 
 def sales_lines(items: DataFrame, measures: DataFrame) -> DataFrame:
-    """Items with their order's measures; an item without an order is dropped."""
+    """Items with their order's measures; an item without an order is dropped.
+
+    Where ``measures`` is a written table, both sides are shuffled for this join only, and
+    Spark splits an order with very many items itself.
+    """
     lines = items.select(*RAW_SCHEMAS["order_items"].fieldNames())
     key = order_item_key(F.col("order_id"), F.col("order_item_id"))
-    return with_revenue(lookup_join(lines, measures, "order_id", "inner")).withColumn(
-        "order_item_key", key
-    )
+    return with_revenue(lines.join(measures, "order_id")).withColumn("order_item_key", key)
 
 
 def fact_order_items(items: DataFrame, orders: DataFrame, reviews: DataFrame) -> DataFrame:

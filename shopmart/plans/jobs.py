@@ -12,17 +12,19 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopmart.operators.quality import run_checks
+from shopmart.operators.quality import run_checks, unique
 from shopmart.plans import delivery_model, gold, marts
-from shopmart.plans.checks import declared_checks
+from shopmart.plans.checks import declared_checks, key_checks
 from shopmart.plans.silver import silver_geolocation
-from shopmart.schemas import GOLD_TABLES, RAW_TABLES
+from shopmart.schemas import FACT_COLUMNS, GOLD_TABLES, RAW_TABLES
 from shopmart.sinks import catalog
 from shopmart.sinks.parquet_tables import write_table
 from shopmart.sources.csv_files import list_csv, read_csv
 from shopmart.sources.parquet_tables import read_tables
 
 SILVER = "silver_geolocation"
+MEASURES = "order_measures"
+TRANSLATION = "product_category_name_translation"
 PREDICTIONS = "gold_delivery_predictions"
 
 
@@ -43,13 +45,14 @@ def ingest(
     prefix: str | None = None,
     coalesce: int | None = None,
     rebalance: bool = False,
-    multi_line: bool | Collection[str] = True,
+    multi_line: bool | Collection[str] = ("order_reviews",),
     infer: bool = False,
 ) -> dict[str, int]:
     """Every CSV table under ``src`` as a Parquet dataset under ``dst``; rows per table.
 
-    ``multi_line`` may name the tables with line breaks in their fields. The files of
-    all others are then split over tasks; a line break in one of them raises.
+    ``multi_line`` names the tables with line breaks in their fields, by default the reviews with
+    their free text. The files of all others are split over tasks; a line break in one of
+    them raises.
     """
     rows = {}
     for table, source in list_csv(spark, src, prefix).items():
@@ -63,13 +66,17 @@ def ingest(
 def build_models(spark: SparkSession, raw_base: str, dst: str) -> dict[str, int]:
     """Silver and gold datasets under ``dst`` from raw Parquet; rows per table.
 
-    Silver is written first and read back, so that it is computed once for
-    customers and sellers.
+    Silver and the measures per order are written first and read back: silver is then computed
+    once for customers and sellers, and items meet a written table, so that
+    Spark can split an order with very many items.
     """
     dst = dst.rstrip("/")
     raw = read_tables(spark, raw_base, RAW_TABLES)
     rows = {SILVER: write_table(silver_geolocation(raw["geolocation"]), f"{dst}/{SILVER}")}
     geo = spark.read.parquet(f"{dst}/{SILVER}")
+    measures = gold.order_measures(raw["orders"], raw["order_reviews"])
+    rows[MEASURES] = write_table(measures, f"{dst}/{MEASURES}")
+    staged = spark.read.parquet(f"{dst}/{MEASURES}")
     models = {
         "dim_customers": gold.dim_customers(raw["customers"], geo),
         "dim_products": gold.dim_products(
@@ -78,9 +85,7 @@ def build_models(spark: SparkSession, raw_base: str, dst: str) -> dict[str, int]
         "dim_sellers": gold.dim_sellers(raw["sellers"], geo),
         "dim_orders": gold.dim_orders(raw["orders"]),
         "dim_payments": gold.dim_payments(raw["order_payments"]),
-        "fact_order_items": gold.fact_order_items(
-            raw["order_items"], raw["orders"], raw["order_reviews"]
-        ),
+        "fact_order_items": gold.sales_lines(raw["order_items"], staged).select(*FACT_COLUMNS),
     }
     for name in GOLD_TABLES:
         rows[name] = write_table(models[name], f"{dst}/{name}")
@@ -88,19 +93,29 @@ def build_models(spark: SparkSession, raw_base: str, dst: str) -> dict[str, int]
 
 
 def check_models(tables: dict[str, DataFrame]) -> None:
-    """Raise if a declared test fails."""
-    failed = [row for row in run_checks(tables, declared_checks()).collect() if row.failures]
+    """Raise if a declared test or one of the keys fails that the questions rely on."""
+    checks = [*declared_checks(), *key_checks()]
+    if TRANSLATION in tables:
+        checks.append(unique(TRANSLATION, "product_category_name"))
+    failed = [row for row in run_checks(tables, checks).collect() if row.failures]
     if failed:
         found = ", ".join(f"{r.model}.{r.column_name} {r.test}: {r.failures}" for r in failed)
         raise QualityError(f"failed tests: {found}")
 
 
-def train_model(spark: SparkSession, database: str, delivered_only: bool = False) -> float:
-    """Train on the registered orders, save the predictions of the test orders; area under ROC."""
+def train_model(
+    spark: SparkSession, database: str, dst: str, delivered_only: bool = False
+) -> float:
+    """Train on the registered orders; area under ROC of the test orders.
+
+    Their predictions are written beside the other datasets under ``dst`` and registered.
+    """
     orders = catalog.read_table(spark, database, "dim_orders")
     train, test = delivery_model.split(delivery_model.delay_features(orders, delivered_only))
     model = delivery_model.train(train)
-    catalog.save_table(delivery_model.predict(model, test), database, PREDICTIONS)
+    path = f"{dst.rstrip('/')}/{PREDICTIONS}"
+    write_table(delivery_model.predict(model, test), path)
+    catalog.register_parquet(spark, database, PREDICTIONS, path)
     return delivery_model.area_under_roc(model, test)
 
 
@@ -134,8 +149,9 @@ def run_all(
     models = (SILVER, *GOLD_TABLES)
     catalog.register_all(spark, gold_database, gold_base, models)
     tables = {name: catalog.read_table(spark, gold_database, name) for name in models}
-    check_models(tables)
-    auc = train_model(spark, gold_database)
+    translation = catalog.read_table(spark, raw_database, TRANSLATION)
+    check_models(tables | {TRANSLATION: translation})
+    auc = train_model(spark, gold_database, gold_base)
     catalog.refresh(spark, gold_database, (*models, PREDICTIONS))
     create_views(tables)
     return RunSummary(rows=rows, auc=auc)

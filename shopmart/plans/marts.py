@@ -1,10 +1,13 @@
 """Business questions over the star schema.
 
 Each question reads only the tables it needs, which is valid because the keys
-of the dimensions are tested to be unique. Sums, counts and means are first
-reduced to the grain of the join key: the reduction runs before the shuffle,
-so a key with very many rows costs no more than any other, and the joins
-that follow are between tables of unique keys.
+of the dimensions are tested to be unique. Where a question asks for attributes of
+a product, seller or customer, sums, counts and means are first reduced to that key: the reduction
+runs before the shuffle, so a key with very many rows costs no more than any other. Items
+read from raw tables are joined to their orders at item level before, to drop those
+without one; on the written fact that join is gone.
+
+Questions without a ranking return every group; ``limit`` cuts them on request.
 """
 
 from __future__ import annotations
@@ -15,7 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopmart.functions.columns import days_between, mean, month_of
-from shopmart.operators.joins import lookup_join
 from shopmart.operators.topk import earliest, largest
 
 ORDER_ATTRIBUTES = ("order_status", "order_purchase_timestamp")
@@ -55,13 +57,12 @@ def with_order(fact: DataFrame, dim_orders: DataFrame, dim_customers: DataFrame)
     """Fact rows with the attributes of their order and its customer.
 
     The customer is attached to the orders and both arrive in one join, so the
-    fact is not shuffled a second time for the customer alone. ``fact`` is the
-    written table, as ``lookup_join`` asks for.
+    fact is not shuffled a second time for the customer alone.
     """
     orders = with_customer(
         dim_orders.select("order_id", "customer_id", *ORDER_ATTRIBUTES), dim_customers
     )
-    return lookup_join(fact, orders.drop("customer_id"), "order_id", "left")
+    return fact.join(orders.drop("customer_id"), "order_id", "left")
 
 
 def dw_joined(lines: DataFrame, products: DataFrame, sellers: DataFrame) -> DataFrame:
@@ -92,30 +93,30 @@ def dw_payments_joined(payments: DataFrame, orders: DataFrame) -> DataFrame:
 # Questions on single raw tables
 
 
-def orders_over_time(orders: DataFrame) -> DataFrame:
+def orders_over_time(orders: DataFrame, limit: int | None = None) -> DataFrame:
     month = month_of(F.col("order_purchase_timestamp")).alias("order_month")
     counts = orders.groupBy(month).agg(F.count(F.lit(1)).alias("order_count"))
-    return earliest(counts, ["order_month"], 10_000)
+    return earliest(counts, ["order_month"], limit)
 
 
-def payment_methods(payments: DataFrame) -> DataFrame:
+def payment_methods(payments: DataFrame, limit: int | None = None) -> DataFrame:
     counts = payments.groupBy("payment_type").agg(F.count(F.lit(1)).alias("payment_count"))
-    return largest(counts, "payment_count", ["payment_type"], 100)
+    return largest(counts, "payment_count", ["payment_type"], limit)
 
 
-def top_cities(customers: DataFrame) -> DataFrame:
+def top_cities(customers: DataFrame, k: int = 20) -> DataFrame:
     counts = customers.groupBy("customer_city").agg(F.count(F.lit(1)).alias("customer_count"))
-    return largest(counts, "customer_count", ["customer_city"], 20)
+    return largest(counts, "customer_count", ["customer_city"], k)
 
 
-def top_products(items: DataFrame) -> DataFrame:
+def top_products(items: DataFrame, k: int = 15) -> DataFrame:
     revenue = items.groupBy("product_id").agg(F.sum("price").alias("total_revenue"))
-    return largest(revenue, "total_revenue", ["product_id"], 15)
+    return largest(revenue, "total_revenue", ["product_id"], k)
 
 
-def order_status(orders: DataFrame) -> DataFrame:
+def order_status(orders: DataFrame, limit: int | None = None) -> DataFrame:
     counts = orders.groupBy("order_status").agg(F.count(F.lit(1)).alias("order_count"))
-    return largest(counts, "order_count", ["order_status"], 50)
+    return largest(counts, "order_count", ["order_status"], limit)
 
 
 # Questions on the star schema
@@ -144,10 +145,10 @@ def order_sales(lines: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def monthly_revenue(sales: DataFrame) -> DataFrame:
+def monthly_revenue(sales: DataFrame, limit: int | None = None) -> DataFrame:
     """``sales`` as from ``order_sales``."""
     revenue = sales.groupBy("order_month").agg(F.sum("revenue").alias("revenue"))
-    return earliest(revenue, ["order_month"], 50_000)
+    return earliest(revenue, ["order_month"], limit)
 
 
 def _per_state(per_customer: DataFrame, customers: DataFrame) -> DataFrame:
@@ -165,11 +166,13 @@ def revenue_by_state(sales: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def sales_by_state(sales: DataFrame, customers: DataFrame) -> DataFrame:
-    return largest(revenue_by_state(sales, customers), "revenue", ["customer_state"], 30)
+def sales_by_state(
+    sales: DataFrame, customers: DataFrame, limit: int | None = None
+) -> DataFrame:
+    return largest(revenue_by_state(sales, customers), "revenue", ["customer_state"], limit)
 
 
-def delivery_by_state(sales: DataFrame, customers: DataFrame) -> DataFrame:
+def delivery_by_state(sales: DataFrame, customers: DataFrame, k: int = 30) -> DataFrame:
     """Mean delivery days; an order counts once per item it has."""
     days, items = F.col("delivery_time_days").cast("long"), F.col("items")
     per_customer = sales.groupBy("customer_id").agg(
@@ -181,7 +184,7 @@ def delivery_by_state(sales: DataFrame, customers: DataFrame) -> DataFrame:
         .groupBy("customer_state")
         .agg(mean(F.sum("days"), F.sum("delivered")).alias("avg_delivery_days"))
     )
-    return largest(states, "avg_delivery_days", ["customer_state"], 30)
+    return largest(states, "avg_delivery_days", ["customer_state"], k)
 
 
 def _per_category(per_product: DataFrame, products: DataFrame) -> DataFrame:
@@ -200,12 +203,12 @@ def category_revenue(lines: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def revenue_by_category(lines: DataFrame, products: DataFrame) -> DataFrame:
+def revenue_by_category(lines: DataFrame, products: DataFrame, k: int = 15) -> DataFrame:
     revenue = category_revenue(lines, products)
-    return largest(revenue, "revenue", ["product_category_name_english"], 15)
+    return largest(revenue, "revenue", ["product_category_name_english"], k)
 
 
-def top_sellers(lines: DataFrame, sellers: DataFrame) -> DataFrame:
+def top_sellers(lines: DataFrame, sellers: DataFrame, k: int = 15) -> DataFrame:
     """Revenue per known seller; sales of unknown sellers share the NULL group."""
     per_seller = lines.groupBy("seller_id").agg(F.sum("item_revenue").alias("revenue"))
     known = sellers.select(F.col("seller_id").alias("known_seller"))
@@ -214,20 +217,24 @@ def top_sellers(lines: DataFrame, sellers: DataFrame) -> DataFrame:
         .groupBy(F.col("known_seller").alias("seller_id"))
         .agg(F.sum("revenue").alias("revenue"))
     )
-    return largest(revenue, "revenue", ["seller_id"], 15)
+    return largest(revenue, "revenue", ["seller_id"], k)
+
 
+def review_by_category(lines: DataFrame, products: DataFrame, k: int = 15) -> DataFrame:
+    """Mean review score; an order's score counts once per item it has.
 
-def review_by_category(lines: DataFrame, products: DataFrame) -> DataFrame:
-    """Mean review score; an order's score counts once per item it has."""
+    Scores are summed as decimals, so that no order of adding them changes a mean.
+    """
+    score = F.col("review_score").cast("decimal(18,12)")
     per_product = lines.groupBy("product_id").agg(
-        F.sum("review_score").alias("score"), F.count("review_score").alias("scored")
+        F.sum(score).alias("score"), F.count(score).alias("scored")
     )
     categories = (
         _per_category(per_product, products)
         .groupBy("product_category_name_english")
         .agg(mean(F.sum("score"), F.sum("scored")).alias("avg_review_score"))
     )
-    return largest(categories, "avg_review_score", ["product_category_name_english"], 15)
+    return largest(categories, "avg_review_score", ["product_category_name_english"], k)
 
 
 def payment_value_by_month(joined: DataFrame) -> DataFrame:
@@ -236,20 +243,25 @@ def payment_value_by_month(joined: DataFrame) -> DataFrame:
     return joined.groupBy(month, "payment_type").agg(F.sum("payment_value").alias("total_value"))
 
 
-def payment_trends(joined: DataFrame) -> DataFrame:
-    return earliest(payment_value_by_month(joined), ["order_month", "payment_type"], 5_000)
+def payment_trends(joined: DataFrame, limit: int | None = None) -> DataFrame:
+    return earliest(payment_value_by_month(joined), ["order_month", "payment_type"], limit)
 
 
 def payment_trends_pivot(joined: DataFrame, types: Sequence[str]) -> DataFrame:
-    """One row per month, one column per listed type and ``other`` for the rest.
+    """One row per month, one column per listed type, ``other`` for the rest and
+    ``unknown`` for payments without a type.
 
     The list is given, so no job is needed to find the columns.
     """
+    taken = {"other", "unknown", "order_month"} & set(types)
+    if taken:
+        raise ValueError(f"types {sorted(taken)} are names of columns of the result")
     long = payment_value_by_month(joined)
-    listed = F.when(F.col("payment_type").isin(*types), F.col("payment_type")).otherwise("other")
+    kind = F.col("payment_type")
+    listed = F.when(kind.isNull(), "unknown").when(kind.isin(*types), kind).otherwise("other")
     return (
         long.withColumn("payment_type", listed)
         .groupBy("order_month")
-        .pivot("payment_type", [*types, "other"])
+        .pivot("payment_type", [*types, "other", "unknown"])
         .agg(F.sum("total_value"))
     )

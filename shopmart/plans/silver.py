@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopmart.functions.columns import mean
@@ -10,6 +10,11 @@ from shopmart.functions.columns import mean
 ZIP = "geolocation_zip_code_prefix"
 
 
+def _exact(coordinate: str) -> Column:
+    """A decimal, whose sums do not depend on the order of the rows."""
+    return F.col(coordinate).cast("decimal(28,15)")
+
+
 def silver_geolocation(geolocation: DataFrame, first_by: str | None = None) -> DataFrame:
     """Centroid of every zip prefix with the city and state of one of its rows.
 
@@ -24,9 +29,9 @@ def silver_geolocation(geolocation: DataFrame, first_by: str | None = None) -> D
     city, state = F.col("geolocation_city"), F.col("geolocation_state")
     first_seen = F.min(first_by) if first_by else F.lit(None).cast("long")
     places = geolocation.groupBy(ZIP, city, state).agg(
-        F.sum("geolocation_lat").alias("lat_sum"),
+        F.sum(_exact("geolocation_lat")).alias("lat_sum"),
         F.count("geolocation_lat").alias("lat_n"),
-        F.sum("geolocation_lng").alias("lng_sum"),
+        F.sum(_exact("geolocation_lng")).alias("lng_sum"),
         F.count("geolocation_lng").alias("lng_n"),
         first_seen.alias("first_seen"),
     )

@@ -18,6 +18,11 @@ from shopmart.testdata import ACCEPTED_STATUSES, FIRST_BY, PAYMENT_TYPES, RawTab
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+_ITEM_IDS = ("order_id", "order_item_id")
+
+# A model of stated coefficients, whose scores SQL can follow.
+STATED_MODEL = delivery_model.Linear(-1.25, (0.031, -0.17))
+
 
 def _plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles, which other engines print the same way."""
@@ -60,6 +65,14 @@ def _dw_joined(raw: RawTables) -> DataFrame:
     return marts.dw_joined(lines, _dim_products(raw), raw["sellers"])
 
 
+def _dw_joined_from_fact(raw: RawTables) -> DataFrame:
+    """The view as the job makes it: over the fact and the dimensions."""
+    customers = gold.dim_customers(raw["customers"], _silver(raw))
+    sellers = gold.dim_sellers(raw["sellers"], _silver(raw))
+    lines = marts.with_order(_fact(raw), gold.dim_orders(raw["orders"]), customers)
+    return marts.dw_joined(lines, _dim_products(raw), sellers)
+
+
 def _payments(raw: RawTables) -> DataFrame:
     return marts.dw_payments_joined(gold.dim_payments(raw["order_payments"]), raw["orders"])
 
@@ -69,7 +82,7 @@ def _payments(raw: RawTables) -> DataFrame:
 
 def _duplicate_profile(raw: RawTables) -> DataFrame:
     # Whole test rows are unique, so a projection with copies goes along.
-    ids = raw["order_items"].select("order_id", "order_item_id")
+    ids = raw["order_items"].select(*_ITEM_IDS)
     return duplicates.profile_tables({**raw.all(), "order_item_ids": ids})
 
 
@@ -87,9 +100,10 @@ def _fanouts(raw: RawTables) -> DataFrame:
 def _checked(raw: RawTables, chosen: list[Check]) -> DataFrame:
     builders: dict[str, Callable[[RawTables], DataFrame]] = {
         "silver_geolocation": _silver,
-        "dim_customers": lambda r: r["customers"],
+    "silver_geolocation_by_name": lambda raw: silver_geolocation(raw["geolocation"]),
+        "dim_customers": lambda r: gold.dim_customers(r["customers"], _silver(r)),
         "dim_products": _dim_products,
-        "dim_sellers": lambda r: r["sellers"],
+        "dim_sellers": lambda r: gold.dim_sellers(r["sellers"], _silver(r)),
         "dim_orders": lambda r: gold.dim_orders(r["orders"]),
         "fact_order_items": _fact,
     }
@@ -131,6 +145,18 @@ def _predictions(raw: RawTables) -> DataFrame:
     return delivery_model.predict(delivery_model.train(train), test)
 
 
+def _stated_scores(raw: RawTables) -> DataFrame:
+    scored = delivery_model.predict(STATED_MODEL, _features(raw))
+    delayed = F.round(F.get("probability", F.lit(1)), 9)
+    return scored.withColumn("delayed_probability", delayed).drop("probability")
+
+
+def _stated_auc(raw: RawTables) -> DataFrame:
+    features = _features(raw)
+    auc = delivery_model.area_under_roc(STATED_MODEL, features)
+    return features.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("auc", F.lit(round(auc, 9)))
+
+
 def _auc(raw: RawTables) -> DataFrame:
     train, test = _split(raw)
     auc = delivery_model.area_under_roc(delivery_model.train(train), test)
@@ -140,9 +166,11 @@ def _auc(raw: RawTables) -> DataFrame:
 _PLANS: dict[str, Callable[[RawTables], DataFrame]] = {
     "scan_parquet": lambda raw: raw.scan("orders"),
     "table_counts": lambda raw: duplicates.count_tables(raw.all()),
-    "distinct_rows": lambda raw: raw["order_items"].select("order_id", "order_item_id").distinct(),
+    "distinct_rows": lambda raw: raw["order_items"].distinct(),
+    "distinct_item_ids": lambda raw: raw["order_items"].select(*_ITEM_IDS).distinct(),
     "duplicate_profile": _duplicate_profile,
     "silver_geolocation": _silver,
+    "silver_geolocation_by_name": lambda raw: silver_geolocation(raw["geolocation"]),
     "reviews_per_order": lambda raw: gold.reviews_per_order(raw["order_reviews"]),
     "dim_customers": lambda raw: gold.dim_customers(raw["customers"], _silver(raw)),
     "dim_products": _dim_products,
@@ -151,6 +179,7 @@ _PLANS: dict[str, Callable[[RawTables], DataFrame]] = {
     "dim_payments": lambda raw: gold.dim_payments(raw["order_payments"]),
     "fact_order_items": _fact,
     "dw_joined": _dw_joined,
+    "dw_joined_from_fact": _dw_joined_from_fact,
     "dw_payments_joined": _payments,
     "join_fanout_check": _fanouts,
     "bi_orders_over_time": lambda raw: marts.orders_over_time(raw["orders"]),
@@ -174,6 +203,11 @@ _PLANS: dict[str, Callable[[RawTables], DataFrame]] = {
         "order_id", "customer_id", delivery_model.LABEL, *delivery_model.FEATURES
     ),
     "ml_split_counts": _split_counts,
+    "ml_scores": _stated_scores,
+    "ml_auc_stated": _stated_auc,
+    "ml_test_orders": lambda raw: _split(raw)[1].select(
+        "order_id", "customer_id", delivery_model.LABEL
+    ),
     "ml_predictions": _predictions,
     "ml_auc": _auc,
     "dq_unique": lambda raw: _checked(raw, _declared("unique") + checks.key_checks()),

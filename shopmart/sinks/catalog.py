@@ -34,8 +34,7 @@ def drop_table(spark: SparkSession, database: str, table: str) -> None:
 def register_parquet(spark: SparkSession, database: str, table: str, path: str) -> None:
     """External table over a Parquet dataset, replacing an earlier registration."""
     drop_table(spark, database, table)
-    literal = path.replace("'", "''")
-    spark.sql(f"CREATE TABLE {qualified(database, table)} USING PARQUET LOCATION '{literal}'")
+    spark.catalog.createTable(qualified(database, table), path=path, source="parquet")
 
 
 def register_all(spark: SparkSession, database: str, base: str, tables: Iterable[str]) -> None:
@@ -52,10 +51,15 @@ def read_table(spark: SparkSession, database: str, table: str) -> DataFrame:
     return spark.table(name)
 
 
-def save_table(df: DataFrame, database: str, table: str) -> None:
-    """Managed Parquet table, overwritten."""
+def save_table(df: DataFrame, database: str, table: str, path: str) -> None:
+    """Parquet table at ``path``, overwritten.
+
+    The place is always named: without one it would be the session's warehouse, which may be
+    a folder of one machine.
+    """
     create_database(df.sparkSession, database)
-    df.write.mode("overwrite").format("parquet").saveAsTable(qualified(database, table))
+    writer = df.write.mode("overwrite").format("parquet").option("path", path)
+    writer.saveAsTable(qualified(database, table))
 
 
 def create_view(df: DataFrame, name: str) -> None:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import posixpath
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -14,7 +13,6 @@ from pyspark.sql import types as T
 from shopmart.schemas import OPTIONAL_TYPES, RAW_SCHEMAS, RAW_TABLES
 
 SUFFIX = "_dataset"
-PATTERN = "*.csv"
 
 
 def table_name(stem: str, prefix: str | None = None) -> str:
@@ -37,33 +35,46 @@ class CsvTable:
     first_file: str
 
 
+def _qualified(spark: SparkSession, src: str) -> str:
+    """A path in full, as listings give it: with scheme and host, without a slash at the end."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(src)
+    return path.getFileSystem(conf).makeQualified(path).toString().rstrip("/")
+
+
 def list_csv(spark: SparkSession, src: str, prefix: str | None = None) -> dict[str, CsvTable]:
     """Tables under ``src``, on any file system Spark can read.
 
-    A file directly in ``src`` is a table by its own name; files in a subfolder
-    are the parts of one table named by the subfolder. Only names are read, and
-    a folder comes back as one entry however many parts it has.
+    A file directly in ``src`` is a table by its own name; files anywhere below a
+    subfolder are the parts of one table named by that subfolder. Only names are read,
+    and a folder comes back as one entry however many parts it has. Within such a folder, a file
+    that is not named as CSV raises, as leaving it out could lose a part; directly in
+    ``src`` it is no table. Spark itself skips hidden files, whose names begin with a dot or an
+    underscore.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", PATTERN)
-        .option("recursiveFileLookup", "true")
-        .load(src)
-    )
-    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
-    # Paths come back in full, with scheme and host; ``src`` may lack them.
-    root = posixpath.normpath(re.sub(r"^\w+:(//[^/]*)?", "", src))
-    is_part = ~folder.endswith(root)
+    root = _qualified(spark, src)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(src)
+    # The listing has full paths; below the root, the first name is the table's.
+    below = F.substring("path", len(root) + 2, 1 << 20)
+    first = F.substring_index(below, "/", 1)
+    is_part = F.contains(below, F.lit("/"))
+    outside = ~F.startswith(F.col("path"), F.lit(f"{root}/"))
     found = (
-        files.select(F.when(is_part, folder).otherwise(F.col("path")).alias("table_path"), "path")
+        files.select(F.concat(F.lit(f"{root}/"), first).alias("table_path"), "path", is_part.alias("is_part"), outside.alias("outside"))
+        .withColumn("odd", ~F.lower("path").endswith(".csv") | F.col("outside"))
+        .where("is_part or not odd")
         .groupBy("table_path")
-        .agg(F.min("path").alias("first_file"))
+        .agg(F.min("path").alias("first_file"), F.min(F.when(F.col("odd"), F.col("path"))).alias("odd"))
         .orderBy("table_path")
         .collect()
     )
+    for row in found:
+        if row.odd is not None:
+            raise ValueError(f"{row.odd} is not a CSV file")
     tables: dict[str, CsvTable] = {}
     for row in found:
-        name = table_name(row.table_path.rsplit("/", 1)[-1].removesuffix(".csv"), prefix)
+        stem = row.table_path.rsplit("/", 1)[-1]
+        name = table_name(re.sub(r"(?i)\.csv$", "", stem), prefix)
         if name in tables:
             raise ValueError(f"two sources for table {name!r} in {src}")
         tables[name] = CsvTable(row.table_path, row.first_file)
@@ -76,7 +87,6 @@ def _reader(spark: SparkSession, multi_line: bool) -> DataFrameReader:
     # A quote inside a quoted field is written twice.
     return (
         spark.read.option("header", "true")
-        .option("pathGlobFilter", PATTERN)
         .option("recursiveFileLookup", "true")
         .option("multiLine", str(multi_line).lower())
         .option("quote", '"')

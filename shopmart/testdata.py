@@ -139,14 +139,13 @@ def _sellers(raw: RawTables) -> DataFrame:
 
 
 def _geolocation(raw: RawTables) -> DataFrame:
-    # Prefixes 20 to 24 are left unknown on purpose: their customers and
-    # sellers get no coordinates.
+    # Prefixes are shifted, so that 0 to 4 are left unknown on purpose: their
+    # customers and sellers get no coordinates.
     nation = raw.scan("nation").select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("geolocation_state")
     )
-    known = raw.scan("customer").where("c_nationkey < 20")
-    return known.join(nation, "c_nationkey", "left").select(
-        F.col("c_nationkey").alias("geolocation_zip_code_prefix"),
+    return raw.scan("customer").join(nation, "c_nationkey", "left").select(
+        (F.col("c_nationkey") + 5).alias("geolocation_zip_code_prefix"),
         _money("c_acctbal").alias("geolocation_lat"),
         F.col("c_custkey").alias("geolocation_lng"),
         F.col("c_mktsegment").alias("geolocation_city"),

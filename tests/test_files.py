@@ -4,7 +4,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
-from helpers import tuples
+from helpers import settings, tuples
 from pyspark.sql import functions as F
 
 from shopmart.plans.jobs import ingest
@@ -143,6 +143,40 @@ def test_part_folder_may_be_named_like_the_source(spark, tmp_path):
         assert read_csv(spark, "customers", source).count() == 2
 
 
+def test_same_tables_from_any_form_of_the_path(spark, tmp_path, monkeypatch):
+    """Relative, dotted, absolute and qualified; the name of the root ends that of a folder."""
+    root = tmp_path / "data"
+    put(root / "rawdata" / "p1.csv", CUSTOMERS)
+    put(root / "rawdata" / "p2.csv", CUSTOMERS)
+    put(root / "orders" / "2024" / "a.csv", "order_id\no1\n")
+    put(root / "sellers.csv", "seller_id\ns1\n")
+    for src in (str(root), f"{root}/", f"file://{root}", f"{root}/../data/."):
+        assert sorted(list_csv(spark, src)) == ["orders", "rawdata", "sellers"]
+    # The session's own working folder decides about relative paths.
+    import os
+
+    relative = os.path.relpath(root)
+    assert sorted(list_csv(spark, relative)) == ["orders", "rawdata", "sellers"]
+
+
+def test_part_with_another_name_raises(spark, tmp_path):
+    put(tmp_path / "customers" / "part-0.csv", CUSTOMERS)
+    put(tmp_path / "customers" / "part-2.CSV", CUSTOMERS)
+    assert read_csv(spark, "customers", list_csv(spark, str(tmp_path))["customers"]).count() == 2
+    put(tmp_path / "customers" / "part-1", CUSTOMERS)
+    with pytest.raises(ValueError, match="part-1"):
+        list_csv(spark, str(tmp_path))
+
+
+def test_plain_files_are_split(spark, tmp_path):
+    header, row = CUSTOMERS.strip().split("\n")
+    put(tmp_path / "src" / "customers.csv", "\n".join([header, *[row] * 20_000]))
+    source = list_csv(spark, str(tmp_path / "src"))["customers"]
+    with settings(spark, spark__sql__files__maxPartitionBytes="64KB", spark__sql__files__openCostInBytes="1KB"):
+        assert read_csv(spark, "customers", source, multi_line=False).rdd.getNumPartitions() > 4
+        assert read_csv(spark, "customers", source, multi_line=True).rdd.getNumPartitions() == 1
+
+
 def test_parts_with_other_columns_raise(spark, tmp_path):
     header = (
         "customer_unique_id,customer_id,customer_zip_code_prefix,customer_city,customer_state\n"
@@ -225,9 +259,11 @@ def test_catalog(spark, tmp_path):
             catalog.identifier(bad)
 
 
-def test_managed_tables_and_views(spark):
-    catalog.save_table(spark.range(4), "managed_db", "t")
-    catalog.save_table(spark.range(2), "managed_db", "t")
+def test_saved_tables_and_views(spark, tmp_path):
+    path = str(tmp_path / "saved")
+    catalog.save_table(spark.range(4), "managed_db", "t", path)
+    catalog.save_table(spark.range(2), "managed_db", "t", path)
+    assert spark.read.parquet(path).count() == 2
     assert catalog.read_table(spark, "managed_db", "t").count() == 2
     catalog.create_view(spark.range(7), "seven")
     assert spark.table("seven").count() == 7

@@ -1,6 +1,7 @@
 """The whole chain, from CSV files to tables, tests, predictions and views."""
 
 import csv
+from pathlib import Path
 
 import pytest
 from conftest import SHOP
@@ -40,12 +41,15 @@ def test_run_all(spark, tmp_path, orders):
     dst = str(tmp_path / "dst")
     write_shop(tmp_path / "one", orders, items)
     summary = jobs.run_all(spark, str(tmp_path / "one"), dst, "run_raw", "run_dw", coalesce=1)
-    assert set(summary.rows) == {*RAW_TABLES, jobs.SILVER, *GOLD_TABLES}
+    assert set(summary.rows) == {*RAW_TABLES, jobs.SILVER, jobs.MEASURES, *GOLD_TABLES}
     assert summary.rows["orders"] == summary.rows["fact_order_items"] == 120
     assert summary.rows[jobs.SILVER] == 2
     assert 0.0 <= summary.auc <= 1.0
     predictions = catalog.read_table(spark, "run_dw", jobs.PREDICTIONS)
     assert dict(predictions.dtypes)["probability"] == "array<double>"
+    by_path = spark.newSession().read.parquet(f"{dst}/warehouse/{jobs.PREDICTIONS}")
+    assert by_path.count() == predictions.count()
+    assert not (Path.cwd() / "spark-warehouse").exists()
     assert 0 < predictions.count() < 120
     assert tuple(spark.table("dw_joined").columns) == marts.JOINED_COLUMNS
     assert spark.table("dw_joined").count() == 120
@@ -71,18 +75,31 @@ def test_failing_test_stops_the_chain(spark, tmp_path, orders):
         catalog.read_table(spark, "bad_dw", jobs.PREDICTIONS)
 
 
-def test_predictions_table(spark, orders):
+def test_predictions_table(spark, tmp_path, orders):
     names = RAW_SCHEMAS["orders"]
-    catalog.save_table(spark.createDataFrame(orders, names), "ml_dw", "dim_orders")
-    auc = jobs.train_model(spark, "ml_dw")
-    again = jobs.train_model(spark, "ml_dw")
+    orders_path, dst = str(tmp_path / "orders"), str(tmp_path / "dst")
+    catalog.save_table(spark.createDataFrame(orders, names), "ml_dw", "dim_orders", orders_path)
+    auc = jobs.train_model(spark, "ml_dw", dst)
+    again = jobs.train_model(spark, "ml_dw", dst)
     table = catalog.read_table(spark, "ml_dw", jobs.PREDICTIONS)
     assert table.columns == [
         "order_id", "customer_id", "is_delayed", "predicted_delay", "probability"
     ]
+    assert spark.read.parquet(f"{dst}/{jobs.PREDICTIONS}").count() == table.count()
     assert auc == again and table.count() == table.select("order_id").distinct().count() > 0
 
 
-def test_training_needs_its_table(spark):
+def test_repeated_key_of_a_dimension_stops_the_chain(spark, tmp_path, orders, monkeypatch):
+    items = [(o[0], 1, "p1", "s1", "10.00", "1.00") for o in orders]
+    repeats = {"products": "dim_products", "sellers": "dim_sellers", jobs.TRANSLATION: jobs.TRANSLATION}
+    for raw, model in repeats.items():
+        monkeypatch.setitem(SHOP, raw, [*SHOP[raw], SHOP[raw][0]])
+        write_shop(tmp_path / raw, orders, items)
+        with pytest.raises(jobs.QualityError, match=f"{model}.* unique"):
+            jobs.run_all(spark, str(tmp_path / raw), str(tmp_path / f"{raw}-dst"), "key_raw", "key_dw")
+        monkeypatch.undo()
+
+
+def test_training_needs_its_table(spark, tmp_path):
     with pytest.raises(LookupError, match="nowhere.dim_orders"):
-        jobs.train_model(spark, "nowhere")
+        jobs.train_model(spark, "nowhere", str(tmp_path))

@@ -4,7 +4,7 @@ import pytest
 from helpers import final_plan, settings, tuples
 from pyspark.sql import functions as F
 
-from shopmart.operators.joins import fanout, hot_keys, lookup_join
+from shopmart.operators.joins import fanout
 from shopmart.plans import gold as g
 from shopmart.plans import marts
 
@@ -40,65 +40,6 @@ def orders(spark):
     )
 
 
-def test_hot_keys_are_found(skewed):
-    found = hot_keys(skewed, "order_id", fraction=1.0, min_sampled=5000)
-    assert found == ["hot", None]
-    # Without a sample row there is nothing to deal out.
-    assert hot_keys(skewed.limit(0), "order_id") == []
-
-
-@pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("hot", [[], ["hot"], [None], ["hot", None, "o1", "absent"]])
-def test_same_rows_as_the_plain_join(skewed, orders, how, hot):
-    columns = ["order_id", "seller_id", "customer_id"]
-    plain = skewed.join(orders, "order_id", how).select(*columns)
-    safe = lookup_join(skewed, orders, "order_id", how, hot=hot).select(*columns)
-    assert safe.exceptAll(plain).isEmpty()
-    assert plain.exceptAll(safe).isEmpty()
-
-
-def test_partners_are_kept_when_the_one_side_repeats(spark, skewed):
-    twice = spark.sql("SELECT * FROM VALUES ('hot', 1), ('hot', 2), ('o1', 3) AS t(order_id, v)")
-    plain = skewed.join(twice, "order_id", "left")
-    safe = lookup_join(skewed, twice, "order_id", "left", hot=["hot", None])
-    assert safe.groupBy("v").count().exceptAll(plain.groupBy("v").count()).isEmpty()
-    assert safe.count() == plain.count() == 60_000 + 20_000
-
-
-def test_hot_key_is_spread_over_tasks(spark, skewed, orders):
-    off = {
-        "spark__sql__autoBroadcastJoinThreshold": "-1",
-        "spark__sql__adaptive__enabled": "false",
-        "spark__sql__shuffle__partitions": "64",
-    }
-    with settings(spark, **off):
-        grouped = orders.groupBy("order_id").agg(F.max("customer_id").alias("customer_id"))
-
-        def largest_task(df):
-            # The joined column is counted too, or the join would be optimised away.
-            per_task = df.groupBy(F.spark_partition_id()).agg(
-                F.count(F.lit(1)).alias("rows"), F.count("customer_id").alias("joined")
-            )
-            return per_task.agg(F.max("rows"), F.max("joined")).first()[0]
-
-        plain = largest_task(skewed.join(grouped, "order_id", "left"))
-        safe = largest_task(lookup_join(skewed, grouped, "order_id", "left", hot=["hot", None]))
-        # 60,000 rows over 64 tasks are 938 each.
-        assert plain >= 20_000
-        assert safe < 4_000
-
-
-def test_no_hot_key_means_the_plain_plan(skewed, orders):
-    joined = lookup_join(skewed, orders, "order_id", "left", hot=[])
-    plan = joined._jdf.queryExecution().analyzed().toString()
-    assert "__salt" not in plan and "Generate" not in plan
-
-
-def test_other_join_types_are_refused(skewed, orders):
-    with pytest.raises(ValueError, match="full"):
-        lookup_join(skewed, orders, "order_id", "full", hot=[])
-
-
 SKEW_SETTINGS = {
     "spark__sql__autoBroadcastJoinThreshold": "-1",
     "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
@@ -170,6 +111,40 @@ def test_adaptive_planner_splits_a_hot_customer(spark, tmp_path):
         assert "skew=true" in final_plan(marts.with_customer(measures, customers))
 
 
+def test_adaptive_planner_splits_a_hot_order(spark, skewed, orders, tmp_path):
+    """A third of the items belong to one order, and its measures are a written table."""
+    measures = orders.withColumns(
+        {"delivery_time_days": F.lit(3), "review_score": F.lit(4.0)}
+    )
+    staged = saved(spark, measures, tmp_path / "measures")
+    with settings(spark, **SKEW_SETTINGS):
+        fact = g.sales_lines(skewed, staged)
+        assert "skew=true" in final_plan(fact)
+        assert fact.where("order_id = 'hot'").count() == 20_000
+
+
+def test_small_one_side_is_broadcast_as_it_is(spark, skewed, tmp_path):
+    places = skewed.select(F.col("product_id").alias("geolocation_zip_code_prefix")).distinct().limit(5)
+    places = saved(
+        spark, places.withColumns({"latitude": F.lit(1.0), "longitude": F.lit(2.0)}), tmp_path / "g"
+    )
+    sellers = skewed.select(
+        "seller_id", F.col("product_id").alias("seller_zip_code_prefix"),
+        F.lit("a").alias("seller_city"), F.lit("b").alias("seller_state"),
+    )
+    plan = final_plan(g.dim_sellers(sellers, places))
+    assert "BroadcastHashJoin" in plan and "Generate" not in plan
+
+
+def test_filters_of_the_view_reach_the_scan(spark, skewed, orders, tmp_path):
+    full = orders.withColumns(
+        {c: F.lit(None).cast("string") for c in marts.ORDER_ATTRIBUTES}
+    )
+    customers = full.select("customer_id", *[F.lit("x").alias(c) for c in marts.CUSTOMER_ATTRIBUTES])
+    lines = marts.with_order(skewed, full, customers).where("seller_id = 's'")
+    assert "EqualTo(seller_id,s)" in lines._jdf.queryExecution().executedPlan().toString()
+
+
 def test_sums_per_order_are_reduced_before_the_shuffle(spark, skewed, orders):
     dated = orders.withColumns(
         {

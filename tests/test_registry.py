@@ -4,9 +4,10 @@ import pytest
 from oracle_check import connect, duck_rows, spark_rows
 
 import __spark_entry__ as entry_point
+from shopmart import oracle, queries
 
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+QUERIES = queries.queries()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,8 @@ def duck(sf_small):
 def test_only_trained_models_have_no_sql():
     assert set(QUERIES) - set(SQL) == {"ml_predictions", "ml_auc"}
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(SQL) <= set(entry_point.oracle_sql())
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -40,6 +43,17 @@ def test_entry(spark, sf_small):
     assert entry_point.entry(spark).columns == ["order_month", "revenue"]
 
 
+def test_building_a_query_starts_no_job(spark, sf_small):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "building queries")
+    try:
+        for name in set(QUERIES) - {"ml_predictions", "ml_auc", "ml_auc_stated"}:
+            QUERIES[name](spark, sf_small)
+        assert list(tracker.getJobIdsForGroup("planning")) == []
+    finally:
+        spark.sparkContext.setJobGroup(None, None)
+
+
 def plan_of(spark, sf, name):
     return QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
 
