@@ -13,10 +13,11 @@ scan cuts the same blocks, finds its answers by a digest of the block's texts an
 them per document. Documents are never shuffled, and each n-gram travels once per block.
 A block that finds no answers (the table changed between the scans) raises.
 
-A document is rejected if its perplexity is over a quantile of the trusted
-documents' perplexities in its language, times a margin. Languages without trusted
-documents use the quantile over all trusted ones. Perplexities of short texts vary by chance:
-``PRIOR`` characters of average text are added to each.
+A document is rejected if its perplexity is over a quantile of trusted
+documents' perplexities in its language, times a margin. A model knows its own training
+texts too well, so half of the trusted documents, by a hash of the id, train it and the other
+half set the quantiles. Languages without such documents use the quantile over all of them.
+Perplexities of short texts vary by chance: ``PRIOR`` characters of average text are added to each.
 
 Nulls: a null or empty text has no perplexity and is kept, like a document without an
 id; a null language is a language. Of labels that repeat an id, the worst counts. Without
@@ -35,11 +36,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopmart.llm.common import new_folder, open_folder, stored
+from shopmart.llm.tokens import text_slices
 
 ORDER = 4  # characters of 16 bits: an n-gram is a 64-bit number
 BLOCK_CHARS = 12_000_000
+CHUNK_CHARS = 500_000
 QUANTILE = 0.99
-MARGIN = 1.04
+MARGIN = 1.08
 PRIOR = 400
 FILTER_BITS = 1 << 23
 
@@ -64,34 +67,55 @@ def _suffix(key: np.ndarray, k: int) -> np.ndarray:
     return key & np.uint64((1 << 16 * k) - 1)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list, list[np.ndarray]]]:
-    """Name, rows (all columns but the last) and n-grams of each block; the last column is the text."""
-    digest, rows, grams, held = xxhash.xxh3_128(), [], [], 0
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list, list[str]]]:
+    """Name, rows (all columns but the last) and texts of each block; the last column is the text."""
+    digest, rows, texts, held = xxhash.xxh3_128(), [], [], 0
     for batch in batches:
-        columns = [c.to_pylist() for c in batch.columns]
-        for *row, text in zip(*columns, strict=True):
-            text = text or ""
-            if rows and held + len(text) > BLOCK_CHARS:
-                yield digest.hexdigest(), rows, grams
-                digest, rows, grams, held = xxhash.xxh3_128(), [], [], 0
-            digest.update(f"{len(text)} ".encode() + text.encode("utf-8", "surrogatepass"))
-            rows.append(row)
-            grams.append(_grams(text))
-            held += len(text)
+        for a, b in text_slices(batch.column(batch.num_columns - 1)):
+            columns = [c.to_pylist() for c in batch.slice(a, b - a).columns]
+            for *row, text in zip(*columns, strict=True):
+                text = text or ""
+                if rows and held + len(text) > BLOCK_CHARS:
+                    yield digest.hexdigest(), rows, texts
+                    digest, rows, texts, held = xxhash.xxh3_128(), [], [], 0
+                digest.update(f"{len(text)} ".encode() + text.encode("utf-8", "surrogatepass"))
+                rows.append(row)
+                texts.append(text)
+                held += len(text)
     if rows:
-        yield digest.hexdigest(), rows, grams
+        yield digest.hexdigest(), rows, texts
+
+
+def _chunks(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """N-grams of about ``CHUNK_CHARS`` characters at a time, and each text's number of them."""
+    grams: list[np.ndarray] = []
+    held = 0
+    for text in texts:
+        grams.append(_grams(text))
+        held += len(text)
+        if held >= CHUNK_CHARS:
+            yield np.concatenate(grams), np.array([len(g) for g in grams])
+            grams, held = [], 0
+    if grams:
+        yield np.concatenate(grams), np.array([len(g) for g in grams])
+
+
+def trains(key: Column) -> Column:
+    """Whether a trusted document trains the model; else it sets quantiles."""
+    return F.pmod(F.xxhash64(key.cast("long"), F.lit("fold")), F.lit(2)) == 0
 
 
 def trusted_documents(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Texts of documents whose labels say quality 1.
+    """Texts of documents whose labels say quality 1, of the half that trains.
 
     Before the join, documents that surely have no such label are left out by a bitmap of
     hashed ids, of 1 MB whatever the size of the tables.
     """
     good = labels.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.min("quality").alias("q"))
-    good = stored(good.where("q = 1 and id is not null").select("id"), "trusted-ids")
+    good = good.where("q = 1 and id is not null").where(trains(F.col("id")))
+    good = stored(good.select("id"), "trusted-ids")
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(FILTER_BITS, bool)
@@ -120,8 +144,11 @@ def _counted(texts: DataFrame) -> DataFrame:
     """N-grams of the highest order and their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, grams in _blocks(batches):
-            keys, counts = np.unique(np.concatenate(grams), return_counts=True)
+        for _, _, texts in _blocks(batches):
+            found = [np.unique(keys, return_counts=True) for keys, _ in _chunks(texts)]
+            keys, place = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+            counts = np.zeros(len(keys), np.int64)
+            np.add.at(counts, place, np.concatenate([n for _, n in found]))
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["gram", "n"])
 
     return texts.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
@@ -176,7 +203,8 @@ def train(texts: DataFrame) -> DataFrame:
             weights = contexts.select(
                 F.col("context").alias("gram"), F.log(F.col("given") / F.col("total")).alias("backoff")
             )
-            parts.append(_part(k - 1, lower.join(weights, "gram", "left")))
+            # The beginnings of texts are contexts that end no longer n-gram.
+            parts.append(_part(k - 1, lower.join(weights, "gram", "full")))
         lower = stored(joined.select("gram", "p"), f"probabilities-{k}")
     parts.append(_part(ORDER, lower.withColumn("backoff", F.lit(0.0))))
     spark = texts.sparkSession
@@ -189,7 +217,8 @@ def train(texts: DataFrame) -> DataFrame:
 
 def _part(k: int, df: DataFrame) -> DataFrame:
     backoff = F.coalesce("backoff", F.lit(0.0)).alias("backoff")
-    return df.select(F.lit(k).alias("k"), "gram", F.log("p").alias("logp"), backoff)
+    logp = F.coalesce(F.log("p"), F.lit(float("nan"))).alias("logp")  # none for a mere context
+    return df.select(F.lit(k).alias("k"), "gram", logp, backoff)
 
 
 def _find(keys: np.ndarray, table: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
@@ -210,7 +239,8 @@ def _log_probabilities(keys: np.ndarray, tables: dict[int, tuple[np.ndarray, ...
             total = total + np.where(seen, tables[k - 1][2][at] if len(tables[k - 1][2]) else 0.0, 0.0)
         at, seen = _find(own, tables[k])
         if len(tables[k][0]):
-            total = np.where(seen, tables[k][1][at], total)
+            logp = tables[k][1][at]
+            total = np.where(seen & ~np.isnan(logp), logp, total)
     return total
 
 
@@ -222,8 +252,8 @@ def score(
     source = docs.select(*columns, F.col(text_col).cast("string").alias("__text"))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, _, grams in _blocks(batches):
-            keys = np.unique(np.concatenate(grams))
+        for name, _, texts in _blocks(batches):
+            keys = np.unique(np.concatenate([np.unique(keys) for keys, _ in _chunks(texts)]))
             asked = [(0, np.zeros(1, np.uint64))]
             for k in range(ORDER, 0, -1):
                 asked.append((k, keys))
@@ -274,7 +304,7 @@ def score(
                 kinds = batch.schema
                 yield batch
 
-        for name, rows, grams in _blocks(typed()):
+        for name, rows, texts in _blocks(typed()):
             with files.open_input_stream(f"{base}/{name}") as stream:
                 k, gram, logp, backoff = np.load(io.BytesIO(stream.read())).values()
             gram = gram.view(np.uint64)
@@ -283,15 +313,17 @@ def score(
                 own = np.flatnonzero(k == order)
                 own = own[np.argsort(gram[own], kind="stable")]
                 tables[order] = (gram[own], logp[own], backoff[own])
-            sizes = np.array([len(g) for g in grams])
-            keys = np.concatenate(grams)
-            distinct = np.unique(keys)
-            values = _log_probabilities(distinct, tables)
-            sums = np.zeros(len(grams))
-            used = np.flatnonzero(sizes)
-            if len(used):
-                each = values[np.searchsorted(distinct, keys)]
-                sums[used] = np.add.reduceat(each, (np.cumsum(sizes) - sizes)[used])
+            each_size, each_sum = [], []
+            for keys, sizes in _chunks(texts):
+                distinct, place = np.unique(keys, return_inverse=True)
+                values = _log_probabilities(distinct, tables)[place]
+                sums = np.zeros(len(sizes))
+                used = np.flatnonzero(sizes)
+                if len(used):
+                    sums[used] = np.add.reduceat(values, (np.cumsum(sizes) - sizes)[used])
+                each_size.append(sizes)
+                each_sum.append(sums)
+            sizes, sums = np.concatenate(each_size), np.concatenate(each_sum)
             fields = [kinds.field(i) for i in range(len(columns))]
             arrays = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), fields, strict=True)]
             yield pa.RecordBatch.from_arrays(
@@ -331,7 +363,8 @@ def classify(
     )
     scored = stored(score(scored, model, ["id", "lang"]), "scored")
     good = labels.groupBy(F.col("doc_id").alias("id")).agg(F.min("quality").alias("q")).where("q = 1")
-    trusted = stored(scored.where("n_scored > 0").join(good.select("id"), "id", "left_semi"), "scored-trusted")
+    held_out = good.where(~trains(F.col("id"))).select("id")
+    trusted = stored(scored.where("n_scored > 0").join(held_out, "id", "left_semi"), "scored-trusted")
     total = trusted.agg(F.sum("log_probability").alias("s"), F.sum("n_scored").alias("n")).first()
     mean = -total.s / total.n if total.n else 0.0
     at = F.percentile_approx(_surprise(mean), F.lit(quantile), F.lit(10_000))
