@@ -200,8 +200,9 @@ def edited(
     marked = own.select(
         F.xxhash64("key").alias("slot"), "key", "text", minhash(F.col("text")).alias("fingerprint")
     )
+    is_next = F.col("d.key").eqNullSafe(F.col("a.next_key"))
     found = marked.alias("d").join(
-        asked.alias("a"), (F.col("d.slot") == F.col("a.slot")) & F.col("d.key").eqNullSafe(F.col("a.next_key"))
+        asked.alias("a"), (F.col("d.slot") == F.col("a.slot")) & is_next
     )
     heads = found.select(
         F.xxhash64("a.asking").alias("slot"),
@@ -212,8 +213,9 @@ def edited(
         ).alias("after"),
     )
     heads = heads.groupBy("slot", "key").agg(F.min("after").alias("after"))
+    is_own = F.col("d.key").eqNullSafe(F.col("h.key"))
     joined = marked.alias("d").join(
-        heads.alias("h"), (F.col("d.slot") == F.col("h.slot")) & F.col("d.key").eqNullSafe(F.col("h.key"))
+        heads.alias("h"), (F.col("d.slot") == F.col("h.slot")) & is_own
     )
     n, k = F.char_length("d.text"), F.floor(F.char_length("d.text") / 4).cast("int")
     return joined.select(
@@ -221,6 +223,8 @@ def edited(
         F.col("d.text").alias("text"),
         n.cast("long").alias("n_chars"),
         F.col("d.fingerprint").alias("fingerprint"),
-        F.concat(F.substr("d.text", F.lit(1), n - k), F.substr("h.after.head", F.lit(1), k)).alias("edited"),
+        F.concat(
+            F.substr("d.text", F.lit(1), n - k), F.substr("h.after.head", F.lit(1), k)
+        ).alias("edited"),
         F.col("h.after.next_fingerprint").alias("next_fingerprint"),
     )

@@ -52,7 +52,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
     found = quality.classify(documents(spark, sf_dir), labels)
     return found.select(
-        "doc_id", "lang", F.round("perplexity", 6).alias("perplexity"), F.round("threshold", 6).alias("threshold"), "is_kept"
+        "doc_id",
+        "lang",
+        F.round("perplexity", 6).alias("perplexity"),
+        F.round("threshold", 6).alias("threshold"),
+        "is_kept",
     )
 
 

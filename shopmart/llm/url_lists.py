@@ -86,16 +86,17 @@ def listed(captures: DataFrame, entries: DataFrame, id_col: str, url_col: str, t
     asked = asked.join(known, "key").withColumn("day", day)
 
     # Within a day: the last change up to the fetch.
-    rows = changes.select("list", "key", "day", "at", "is_listed", F.lit(None).cast(asked.schema["id"].dataType).alias("id"), F.lit(False).alias("is_capture"))
-    rows = rows.unionByName(
-        asked.select("list", "key", "day", "at", F.lit(None).cast("boolean").alias("is_listed"), "id", F.lit(True).alias("is_capture"))
+    no_id = F.lit(None).cast(asked.schema["id"].dataType)
+    rows = changes.withColumns({"id": no_id, "is_capture": F.lit(False)}).unionByName(
+        asked.withColumns({"is_listed": F.lit(None).cast("boolean"), "is_capture": F.lit(True)})
     )
     so_far = (
         Window.partitionBy("list", "key", "day")
         .orderBy("at", "is_capture")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    within = rows.withColumn("state", F.last("is_listed", ignorenulls=True).over(so_far)).where("is_capture")
+    state = F.last("is_listed", ignorenulls=True).over(so_far)
+    within = rows.withColumn("state", state).where("is_capture")
 
     # Before a day: the last change of the latest earlier day with changes.
     ends = changes.groupBy("list", "key", "day").agg(F.max_by("is_listed", "at").alias("end"))
@@ -115,14 +116,20 @@ def listed(captures: DataFrame, entries: DataFrame, id_col: str, url_col: str, t
 
 
 def filter_captures(
-    captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url_col: str = "url", time_col: str = "fetched_at"
+    captures: DataFrame,
+    entries: DataFrame,
+    id_col: str = "page_id",
+    url_col: str = "url",
+    time_col: str = "fetched_at",
 ) -> DataFrame:
     """Every capture with ``lists`` (those it was on when fetched, sorted) and ``is_blocked``.
 
     Captures with a null id are evaluated together, as if they were one.
     """
     found = listed(captures, entries, id_col, url_col, time_col)
-    per_id = found.groupBy(F.col(id_col).alias("__id")).agg(F.sort_array(F.collect_set("list")).alias("lists"))
+    lists = F.sort_array(F.collect_set("list")).alias("lists")
+    per_id = found.groupBy(F.col(id_col).alias("__id")).agg(lists)
     joined = captures.join(per_id, F.col(id_col).eqNullSafe(F.col("__id")), "left").drop("__id")
     none = F.array().cast("array<string>")
-    return joined.withColumn("lists", F.coalesce("lists", none)).withColumn("is_blocked", F.size("lists") > 0)
+    whole = joined.withColumn("lists", F.coalesce("lists", none))
+    return whole.withColumn("is_blocked", F.size("lists") > 0)

@@ -59,6 +59,7 @@ SCHEMA = (
 VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BODY_TYPE = "application/http;msgtype=response"
+HTML = "text/html; charset=utf-8"
 DATE = "1970-01-01T00:00:00Z"
 LENGTH_FIELD = "X-Payload-Length"  # an extension field, so that revisits tell the length too
 
@@ -79,7 +80,7 @@ def record_bytes(
     record_id: str, kind: str, uri: str | None, refers_to: str | None, payload: bytes
 ) -> bytes:
     """One record; a revisit has the payload's digest and length, but not the payload."""
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: {HTML}\r\nContent-Length: {len(payload)}\r\n\r\n"
     body = http.encode() + (payload if kind == "response" else b"")
     fields = [
         ("WARC-Type", kind),
