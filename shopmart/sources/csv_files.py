@@ -60,11 +60,18 @@ def list_csv(spark: SparkSession, src: str, prefix: str | None = None) -> dict[s
     is_part = F.contains(below, F.lit("/"))
     outside = ~F.startswith(F.col("path"), F.lit(f"{root}/"))
     found = (
-        files.select(F.concat(F.lit(f"{root}/"), first).alias("table_path"), "path", is_part.alias("is_part"), outside.alias("outside"))
-        .withColumn("odd", ~F.lower("path").endswith(".csv") | F.col("outside"))
+        files.select(
+            F.concat(F.lit(f"{root}/"), first).alias("table_path"),
+            "path",
+            is_part.alias("is_part"),
+            (~F.lower("path").endswith(".csv") | outside).alias("odd"),
+        )
         .where("is_part or not odd")
         .groupBy("table_path")
-        .agg(F.min("path").alias("first_file"), F.min(F.when(F.col("odd"), F.col("path"))).alias("odd"))
+        .agg(
+            F.min("path").alias("first_file"),
+            F.min(F.when(F.col("odd"), F.col("path"))).alias("odd"),
+        )
         .orderBy("table_path")
         .collect()
     )
