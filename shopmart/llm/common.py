@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,11 +75,32 @@ def lookup(many: DataFrame, one: DataFrame, key: str, n_rows: str) -> DataFrame:
     return found.unionByName(others)
 
 
+# Bytes of rows that Spark hands to a Python worker at a time, so that long texts do not add up.
+BATCH_BYTES = 1 << 24
+
+
+def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``task``, after which the worker returns its free memory to the system.
+
+    Idle workers are kept for later tasks, beside the memory of the executor.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per Spark application.
 
-    Python workers can then import it wherever the driver was started.
+    Python workers can then import it wherever the driver was started. Batches of rows for
+    them are limited to ``BATCH_BYTES``.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if getattr(context, "_shipped_package", False):
         return

@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopmart.llm.common import tidy
 from shopmart.llm.tokens import text_encoder, text_slices
 
 PIECES = (
@@ -135,7 +136,7 @@ def pack(
             bins.finish()
             yield rows()
 
-    return source.mapInArrow(run, PIECES.format(id=f"`{id_col}`", type=kind))
+    return source.mapInArrow(tidy(run), PIECES.format(id=f"`{id_col}`", type=kind))
 
 
 def sequences(pieces: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopmart.llm.common import new_folder, open_folder, stored
+from shopmart.llm.common import new_folder, open_folder, stored, tidy
 from shopmart.llm.tokens import text_slices
 
 ORDER = 4  # characters of 16 bits: an n-gram is a 64-bit number
@@ -125,7 +125,8 @@ def trusted_documents(
 
     place = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)).cast("int")
     known = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row in good.select(place.alias("p")).coalesce(32).mapInArrow(bits, "bits binary").toLocalIterator():
+    parts = good.select(place.alias("p")).coalesce(32).mapInArrow(tidy(bits), "bits binary")
+    for row in parts.toLocalIterator():
         known |= np.frombuffer(row.bits, np.uint8)
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +137,8 @@ def trusted_documents(
     source = docs.select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")
     ).where("id is not null")
-    some = source.withColumn("p", place).select("id", "p", "text").mapInArrow(likely, "id long, text string")
+    placed = source.select("id", place.alias("p"), "text")
+    some = placed.mapInArrow(tidy(likely), "id long, text string")
     return some.join(good, "id").select("text")
 
 
@@ -149,9 +151,10 @@ def _counted(texts: DataFrame) -> DataFrame:
             keys, place = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
             counts = np.zeros(len(keys), np.int64)
             np.add.at(counts, place, np.concatenate([n for _, n in found]))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["gram", "n"])
+            columns = [pa.array(keys.view(np.int64)), pa.array(counts)]
+            yield pa.RecordBatch.from_arrays(columns, ["gram", "n"])
 
-    return texts.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(tidy(run), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def _discounts(grams: DataFrame) -> list[float]:
@@ -208,7 +211,8 @@ def train(texts: DataFrame) -> DataFrame:
         lower = stored(joined.select("gram", "p"), f"probabilities-{k}")
     parts.append(_part(ORDER, lower.withColumn("backoff", F.lit(0.0))))
     spark = texts.sparkSession
-    parts.append(spark.range(1).select(F.lit(0).alias("k"), F.lit(0).cast("long").alias("gram"), unseen.alias("logp"), F.lit(0.0).alias("backoff")))
+    none_seen = [F.lit(0).alias("k"), F.lit(0).cast("long").alias("gram"), unseen.alias("logp")]
+    parts.append(spark.range(1).select(*none_seen, F.lit(0.0).alias("backoff")))
     model = parts[0]
     for part in parts[1:]:
         model = model.unionByName(part)
@@ -333,12 +337,12 @@ def score(
 
     files, base = open_folder(folder)
     files.create_dir(base, recursive=True)
-    asked = source.mapInArrow(ask, "block string, k int, gram long")
+    asked = source.mapInArrow(tidy(ask), "block string, k int, gram long")
     found = asked.join(model, ["k", "gram"]).select("block", "k", "gram", "logp", "backoff")
     by_block = found.repartition("block").sortWithinPartitions("block")
-    by_block.mapInArrow(answer, "n long").agg(F.sum("n")).collect()
+    by_block.mapInArrow(tidy(answer), "n long").agg(F.sum("n")).collect()
     schema = docs.select(*columns).schema.add("n_scored", "long").add("log_probability", "double")
-    return source.mapInArrow(add, schema)
+    return source.mapInArrow(tidy(add), schema)
 
 
 def _surprise(mean: float) -> Column:

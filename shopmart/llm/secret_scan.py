@@ -29,7 +29,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmart.llm.common import new_folder, stored
+from shopmart.llm.common import new_folder, stored, tidy
 
 MIN_LENGTH = 16
 MAX_FINDINGS = 20_000
@@ -171,7 +171,7 @@ def findings(
             )
 
     return source.mapInArrow(
-        run, f"`{id_col}` {kind}, start long, candidate string, features array<double>, label double"
+        tidy(run), f"`{id_col}` {kind}, start long, candidate string, features array<double>, label double"
     )
 
 
@@ -342,7 +342,7 @@ def mask(
             field = batch.schema.field(place)
             yield batch.set_column(place, field, pa.array(changed, field.type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def read_dictionary(path: str) -> frozenset[str]:

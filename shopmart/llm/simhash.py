@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopmart.llm.common import lookup, stored
+from shopmart.llm.common import lookup, stored, tidy
 from shopmart.llm.components import components
 from shopmart.llm.tokens import text_slices
 
@@ -87,7 +87,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 found = fingerprint_all(part.column("text").to_pylist()).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(found)], [id_col, "fp"])
 
-    return source.mapInArrow(run, f"`{id_col}` {kind}, fp long")
+    return source.mapInArrow(tidy(run), f"`{id_col}` {kind}, fp long")
 
 
 def _ranges(mask: int) -> list[int]:
@@ -199,7 +199,8 @@ def links(fps: DataFrame) -> DataFrame:
                 own = fps[a:b]
                 pairs += [(own[u], own[v]) for u, v in _group_links(own.view(np.uint64), int(split[a]))]
             u, v = zip(*pairs, strict=True) if pairs else ((), ())
-            return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+            columns = [pa.array(u, pa.int64()), pa.array(v, pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, ["u", "v"])
 
         held = [np.zeros(0, np.int8), np.zeros(0, np.int64), np.zeros(0, np.int64)]
         for batch in batches:
@@ -215,9 +216,9 @@ def links(fps: DataFrame) -> DataFrame:
         if len(held[2]) > 1:
             yield found(held[0], held[2], [(0, len(held[2]))])
 
-    dealt = fps.select("fp").mapInArrow(deal, "split byte, key long, fp long")
+    dealt = fps.select("fp").mapInArrow(tidy(deal), "split byte, key long, fp long")
     grouped = dealt.repartition("split", "key").sortWithinPartitions("split", "key", "fp")
-    return grouped.mapInArrow(compare, "u long, v long")
+    return grouped.mapInArrow(tidy(compare), "u long, v long")
 
 
 def near_components(

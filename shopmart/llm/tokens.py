@@ -21,8 +21,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-# Pieces kept per Python worker, about 250 MB. Beyond, the memory starts anew.
-MAX_PIECES = 1_000_000
+# Pieces kept per Python worker, about 100 MB. Beyond, the memory starts anew.
+MAX_PIECES = 400_000
 # Characters of the texts that are encoded at a time.
 MAX_CHARS = 2_000_000
 
