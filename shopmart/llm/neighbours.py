@@ -201,7 +201,8 @@ def search(
 
     def meet(asked: DataFrame) -> DataFrame:
         """Queries (id, v, leaf, bound) against the rows of their leaves, in blocks."""
-        # A leaf that holds much more than its share is cut into blocks by id.
+        # A leaf that holds much more than its share is cut into blocks by id. One row per
+        # leaf is broadcast, and there are no more leaves than rows in the sample.
         blocks = placed.groupBy("leaf").agg(
             F.ceil(F.count(F.lit(1)) / (2 * leaf_rows)).cast("int").alias("blocks")
         )
