@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from shopmart.llm.common import lookup, stored
+
 DAY = 86_400
 
 
@@ -81,9 +83,12 @@ def listed(captures: DataFrame, entries: DataFrame, id_col: str, url_col: str, t
         F.explode(keys(F.col(url_col))).alias("key"),
         F.col(time_col).cast("timestamp").alias("at"),
     ).where(F.col("at").isNotNull())
-    # One row per key and list: the lists that know a key at all.
-    known = changes.select("list", "key").distinct()
-    asked = asked.join(known, "key").withColumn("day", day)
+    # One row per key: the lists that know it at all. A key of very many captures is broadcast.
+    known = changes.groupBy("key").agg(F.collect_set("list").alias("known"))
+    counts = asked.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    known = stored(known.join(counts, "key"), "listed-keys")
+    found = lookup(asked, known, "key", "n")
+    asked = found.select("id", "key", "at", F.explode("known").alias("list"), day.alias("day"))
 
     # Within a day: the last change up to the fetch.
     no_id = F.lit(None).cast(asked.schema["id"].dataType)
