@@ -43,16 +43,16 @@ _REFERENCES = _RNG.integers(0, 1 << 64, PIVOTS, np.uint64, endpoint=False)
 _WEIGHTS = _RNG.integers(0, 1 << 64, (2, PIVOTS), np.uint64, endpoint=False) | np.uint64(1)
 
 
-def shingle_hashes(text: str | None) -> np.ndarray:
-    """XXH64 of each shingle of ``WORDS`` words, repeats included."""
+def shingle_hashes(text: str | None, n_words: int = WORDS) -> np.ndarray:
+    """XXH64 of each shingle of ``n_words`` words, repeats included."""
     words = (text or "").encode("utf-8", "replace").translate(_LOWER).split()
     if not words:
         return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = list(accumulate(len(w) + 1 for w in words))
-    starts = [0, *ends[: max(0, len(words) - WORDS)]]
+    starts = [0, *ends[: max(0, len(words) - n_words)]]
     digest = xxhash.xxh64_intdigest
-    stops = ends[min(WORDS, len(words)) - 1 :]
+    stops = ends[min(n_words, len(words)) - 1 :]
     return np.array(
         [digest(joined[a : b - 1], SEED) for a, b in zip(starts, stops, strict=True)], np.uint64
     )
