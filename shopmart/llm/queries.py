@@ -70,7 +70,7 @@ def secret_forest(docs: DataFrame) -> secret_scan.Forest:
     found = stored(secret_scan.findings(docs, words), "secret-candidates")
     found = found.select("features", "label", "candidate", "start")
     reference = docs.sparkSession.createDataFrame(secret_scan.reference_findings(words), found.schema)
-    return secret_scan.train(found.unionByName(reference))
+    return secret_scan.train(found, reference=reference)
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

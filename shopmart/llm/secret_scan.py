@@ -3,8 +3,8 @@
 Candidates are runs of at least ``MIN_LENGTH`` characters of keys and encodings which hold a
 digit or mix cases. The forest sees their length, how they change between kinds of
 characters, how much of them a dictionary covers, the file's path and the words beside
-them. It is trained on labelled findings with ``spark.ml``; of those at most
-``MAX_FINDINGS`` are used. Its trees, of bounded depth and number, are then sent to the tasks,
+them. It is trained on labelled findings with ``spark.ml``; of those in documents at most
+``MAX_FINDINGS`` distinct ones are used, and all reference findings. Its trees, of bounded depth and number, are then sent to the tasks,
 which find, judge and mask secrets in one pass over whole texts: no join, no shuffle.
 
 Nulls: a null text or path is an empty one; a masked null text stays null. Repeated
@@ -216,6 +216,7 @@ OTHER_CONTEXTS = (
     ("models.py", "id: {uuid},"), ("", "{word}{word}1{word} in {word}_{word}_{digits}"),
 )
 REFERENCE_ROUNDS = 25
+REFERENCE_SHARE = 0.5
 
 
 def _fill(template: str, k: int) -> str:
@@ -251,25 +252,41 @@ def reference_findings(dictionary: frozenset[str]) -> list[tuple[list[float], fl
     return out
 
 
-def train(labelled: DataFrame, max_findings: int = MAX_FINDINGS) -> Forest:
-    """A forest from ``features`` and ``label``. Both kinds have at most half of
-    ``max_findings``, chosen by a hash of the finding, and weigh the same in total."""
-    order = F.xxhash64("candidate", "start", "features")
-    bounded = None
+def train(
+    labelled: DataFrame, max_findings: int = MAX_FINDINGS, reference: DataFrame | None = None
+) -> Forest:
+    """A forest from ``features`` and ``label``; findings without a label are left out.
+
+    Equal findings are one row with a weight. Both kinds have at most half of ``max_findings``
+    such rows, chosen by a hash. All of ``reference`` is added beyond that bound, with the share
+    ``REFERENCE_SHARE`` of its kind's weight however large the rest. Both kinds weigh the same."""
+    grouped = labelled.where("label is not null").groupBy("features", "label")
+    grouped = grouped.agg(F.count(F.lit(1)).cast("double").alias("n"))
+    rows = None
     for label in (0.0, 1.0):
-        one = labelled.where(F.col("label") == label).orderBy(order).limit(max_findings // 2)
-        bounded = one if bounded is None else bounded.unionByName(one)
-    bounded = stored(bounded.select("features", "label"), "secret-findings")
-    counts = {r.label: r["count"] for r in bounded.groupBy("label").count().collect()}
-    if len(counts) < 2:
+        order = (F.xxhash64("features"), "features")
+        one = grouped.where(F.col("label") == label).orderBy(*order).limit(max_findings // 2)
+        rows = one if rows is None else rows.unionByName(one)
+    rows = rows.withColumn("is_reference", F.lit(False))
+    if reference is not None:
+        given = reference.select("features", "label", F.lit(1.0).alias("n"), F.lit(True).alias("is_reference"))
+        rows = rows.unionByName(given)
+    rows = stored(rows, "secret-findings")
+    parts = rows.groupBy("label", "is_reference").agg(F.sum("n").alias("total"), F.count("n").alias("rows")).collect()
+    if len({r.label for r in parts}) < 2:
         return Forest([])
-    total = sum(counts.values())
-    weight = F.when(F.col("label") == 1, total / counts[1.0]).otherwise(total / counts[0.0])
-    rows = bounded.select(array_to_vector("features").alias("features"), "label", weight.alias("weight"))
+    size = sum(r["rows"] for r in parts)
+    weight = F.lit(None).cast("double")
+    for r in parts:
+        alone = sum(x.label == r.label for x in parts) == 1
+        share = 1.0 if alone else REFERENCE_SHARE if r.is_reference else 1 - REFERENCE_SHARE
+        is_part = (F.col("label") == r.label) & (F.col("is_reference") == r.is_reference)
+        weight = F.when(is_part, F.col("n") * (size * share / r.total)).otherwise(weight)
+    rows = rows.select(array_to_vector("features").alias("features"), "label", weight.alias("weight"))
     fitted = RandomForestClassifier(
         numTrees=TREES, maxDepth=DEPTH, seed=SEED, weightCol="weight", minInstancesPerNode=2
     ).fit(rows)
-    return _exported(bounded.sparkSession, fitted)
+    return _exported(labelled.sparkSession, fitted)
 
 
 def _exported(spark: SparkSession, fitted) -> Forest:
