@@ -41,6 +41,10 @@ _MIXED = re.compile(r"[0-9]|[a-z][A-Z]")
 _BEFORE = re.compile(r"([^\W\d_]+)?\s*([:=]*)\s*([\"'`]?)$")
 _AFTER = re.compile(r"^[\"'`]?\W*([^\W\d_]+)?")
 _WORD = re.compile(r"[A-Za-z]{3,}")
+# The address that a text ends within.
+_ADDRESS = re.compile(r"(?:://|@)[^\s\"'<>]*$")
+# Share of dictionary words from which a string counts as words.
+WORDED = 0.75
 
 # Words that name credentials, and words that name what is not in use.
 CREDENTIAL_WORDS = (
@@ -137,6 +141,25 @@ def looks_assigned(text: str, start: int, found: str) -> bool:
     return named and bool(sign and quote) and entropy > 3 and not placeholder
 
 
+def rule_label(found: Candidate, text: str, dictionary: frozenset[str]) -> float | None:
+    """The label of a candidate as far as evidence in the text goes, otherwise None.
+
+    1 as ``looks_assigned`` has it, but for a phrase or words. 0 is for placeholders and, where no
+    credential's name is near and nothing is assigned, for addresses, numbers and words."""
+    shape = dict(zip(SHAPE, found.features, strict=False))
+    worded = shape["dictionary"] >= WORDED
+    if any(w in found.text.lower() for w in PLACEHOLDER_WORDS):
+        return 0.0
+    if looks_assigned(text, found.start, found.text):
+        return None if worded or any(c.isspace() for c in found.text) else 1.0
+    if shape["credential_before"] or shape["assigned"]:
+        return None
+    end = found.start + len(found.text)
+    in_address = bool(_ADDRESS.search(text[max(0, found.start - 200) : found.start])) or text[end : end + 1] == "@"
+    number = not any(c.isalpha() for c in found.text)
+    return 0.0 if worded or in_address or number else None
+
+
 def findings(
     docs: DataFrame,
     dictionary: frozenset[str],
@@ -145,7 +168,7 @@ def findings(
     path_col: str = "source",
 ) -> DataFrame:
     """Every candidate of every text: id, ``start`` (code points), ``candidate``, ``features`` and
-    ``label`` by the rule ``looks_assigned``, to be replaced where people have judged."""
+    ``label`` by ``rule_label`` (null where that cannot judge), to be replaced where people have judged."""
     source = _source(docs, id_col, text_col, path_col)
     kind = source.schema["id"].dataType.simpleString()
 
@@ -158,7 +181,7 @@ def findings(
                     starts.append(c.start)
                     texts.append(c.text)
                     vectors.append(c.features)
-                    labels.append(float(looks_assigned(text, c.start, c.text)))
+                    labels.append(rule_label(c, text, dictionary))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(keys, batch.schema.field("id").type),

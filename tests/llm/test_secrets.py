@@ -47,3 +47,18 @@ def large_forest(llm):
 def test_references_count_beside_a_large_corpus(llm, large_forest):
     small = judged(llm, queries.secret_forest(one_sided(llm, 400)), KINDS)
     assert judged(llm, large_forest, KINDS) == small == KINDS
+
+
+def test_unquoted_secrets_are_not_taught_as_others(llm):
+    """Many unquoted secrets in a corpus, which the rule cannot judge."""
+    n = 2000
+    base64 = F.regexp_replace(F.base64(F.unhex(F.sha2(F.col("id").cast("string"), 256))), "=", "")
+    shapes = [("AWS_SECRET_ACCESS_KEY=", ""), ("Authorization: Bearer ", ""), ("password: ", " #")]
+    text = F.element_at(F.array(*[F.concat(F.lit(a), base64, F.lit(b)) for a, b in shapes]), (F.col("id") % 3 + 1).cast("int"))
+    corpus = llm.range(n).select((F.col("id") + n).alias("doc_id"), text.alias("text"), F.lit("").alias("source"))
+    corpus = corpus.unionByName(one_sided(llm, n))
+    labels = secret_scan.findings(corpus, queries.dictionary()).groupBy("label").count().collect()
+    counts = {r.label: r["count"] for r in labels}
+    assert counts[0.0] <= n // 2 and counts[1.0] == n // 2
+    unquoted = {f"{a}{MIXED}{b}": True for a, b in shapes}
+    assert judged(llm, queries.secret_forest(corpus), KINDS | unquoted) == KINDS | unquoted
