@@ -1,7 +1,8 @@
 """Secret scans: a random forest tells secrets from other long strings.
 
 Candidates are runs of at least ``MIN_LENGTH`` characters of keys and encodings which hold a
-digit or mix cases. The forest sees their length, how they change between kinds of
+digit or mix cases, and every value of at least ``MIN_ASSIGNED`` characters that is assigned to a
+credential's name: in quotes up to the quote in its line, else up to white space. The forest sees their length, how they change between kinds of
 characters, how much of them a dictionary covers, the file's path and the words beside
 them. It is trained on labelled findings with ``spark.ml``; of those in documents at most
 ``MAX_FINDINGS`` distinct ones are used, and all reference findings. Its trees, of bounded depth and number, are then sent to the tasks,
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from shopmart.llm.common import new_folder, stored, tidy
 
 MIN_LENGTH = 16
+MIN_ASSIGNED = 6
 MAX_FINDINGS = 20_000
 TREES, DEPTH, SEED = 20, 8, 11
 HASHED = 16  # columns for the words on each side
@@ -41,6 +43,7 @@ _MIXED = re.compile(r"[0-9]|[a-z][A-Z]")
 _BEFORE = re.compile(r"([^\W\d_]+)?\s*([:=]*)\s*([\"'`]?)$")
 _AFTER = re.compile(r"^[\"'`]?\W*([^\W\d_]+)?")
 _WORD = re.compile(r"[A-Za-z]{3,}")
+_SPACE = re.compile(r"\s")
 # The address that a text ends within.
 _ADDRESS = re.compile(r"(?:://|@)[^\s\"'<>]*$")
 # Share of dictionary words from which a string counts as words.
@@ -51,12 +54,16 @@ CREDENTIAL_WORDS = (
     "access", "apikey", "auth", "bearer", "credential", "key", "passwd", "password", "private",
     "pwd", "secret", "session", "token",
 )
+_NAME = rf"(?:{'|'.join(CREDENTIAL_WORDS)})[\w\-]{{0,40}}[\"'`\]]{{0,2}}[ \t]{{0,8}}(?::=|=>|[:=])[ \t]{{0,8}}(?:(?:bearer|basic|token)[ \t]{{1,8}})?"
+_ASSIGNED = re.compile(rf"{_NAME}([\"'`]?)", re.I)
+_NAMED = re.compile(rf"{_NAME}[\"'`]?$", re.I)
+_TAIL = "\"'`,;.)]}>"  # what closes a value without quotes, or follows it
 PLACEHOLDER_WORDS = ("changeme", "demo", "dummy", "example", "fake", "placeholder", "sample", "test")
 
 SHAPE = [
     "length", "entropy", "digits", "upper", "lower", "changes", "hex", "repeat", "dictionary",
     "words", "credential_before", "assigned", "quoted", "placeholder", "in_address", "path_test",
-    "path_code",
+    "path_code", "named", "marks", "spaces",
 ]
 
 
@@ -119,16 +126,35 @@ def features(text: str, start: int, found: str, path: str, dictionary: frozenset
         float("://" in before[-40:] or before[-1:] in ("@", ".", "#", "?", "&")),
         float(any(w in low_path for w in PLACEHOLDER_WORDS)),
         float(bool(re.search(r"\.(py|js|ts|java|go|rb|env|cfg|ini|ya?ml|json|sh)$", low_path))),
+        float(bool(_NAMED.search(text, max(0, start - 120), start))),
+        sum(c in "()[]{}$<>" for c in found) / n,
+        sum(c.isspace() for c in found) / n,
     ]
     return [float(x) for x in shape] + _hashed(word) + _hashed(behind)
 
 
+def _assigned(text: str) -> Iterator[tuple[int, int]]:
+    """From, to: values assigned to a credential's name."""
+    for match in _ASSIGNED.finditer(text):
+        start, quote = match.end(), match.group(1)
+        stop = -1
+        if quote:
+            line = text.find("\n", start)
+            stop = text.find(quote, start, len(text) if line < 0 else line)
+        if stop < 0:
+            space = _SPACE.search(text, start)
+            stop = space.start() if space else len(text)
+            stop = start + len(text[start:stop].rstrip(_TAIL))
+        if stop - start >= MIN_ASSIGNED:
+            yield start, stop
+
+
 def candidates(text: str, path: str, dictionary: frozenset[str]) -> Iterator[Candidate]:
-    for match in _CANDIDATE.finditer(text):
-        found = match.group()
-        if _MIXED.search(found):
-            start = match.start()
-            yield Candidate(start, found, features(text, start, found, path, dictionary))
+    """In order of their starts, the longer first; a run may lie within an assigned value."""
+    spans = {m.span() for m in _CANDIDATE.finditer(text) if _MIXED.search(m.group())}
+    for start, stop in sorted(spans.union(_assigned(text)), key=lambda s: (s[0], -s[1])):
+        found = text[start:stop]
+        yield Candidate(start, found, features(text, start, found, path, dictionary))
 
 
 def looks_assigned(text: str, start: int, found: str) -> bool:
@@ -229,6 +255,8 @@ SECRET_CONTEXTS = (
     ("deploy/prod.env", "AWS_SECRET_ACCESS_KEY={base64}"), ("client.js", "Authorization: Bearer {mixed}"),
     ("db.yml", 'password: "{mixed}"'), ("", "SECRET = '{base64}'!!"), ("", 'TOKEN = "{upper_hex}"!! THE'),
     ("config.json", '"private_key": "{base64}"'), ("", "auth_token={hex} and"),
+    ("", 'password = "{short}"'), ("db.yml", "password: {marked}"), ("", 'secret = "{letters}"'),
+    ("", "DB_PASSWORD={short}"), ("app.py", "passwd = '{marked}'"), ("", "api_key: {letters}"),
 )
 OTHER_CONTEXTS = (
     ("", "see https://www.example.com/en/{digits}{word}/{digits} and"), ("", "http://x.net/{word}/{word}-{word}/{digits}.html"),
@@ -236,6 +264,8 @@ OTHER_CONTEXTS = (
     ("index.html", '<img src="data:image/png;base64,{base64}{base64}">'), ("", "the {camel} of the {camel}"),
     ("", "call {digits}{digits} now"), ("test/test_auth.py", 'token = "example-{word}-1234567890"'),
     ("README.md", 'api_key = "your-{word}-key-here-0000"'), ("", "by nt.{digits}{word}{word}@mail.example.com of"),
+    ("", "the password: {word} of"), ("", 'the key = "{word} {word} {word}" of'), ("", "Token: {camel} and"),
+    ("app.py", "password = get_{word}()"), ("app.py", 'token = os.environ["{word}"]'), ("", "secret: ${{{word}}}"),
     ("models.py", "id: {uuid},"), ("", "{word}{word}1{word} in {word}_{word}_{digits}"),
 )
 REFERENCE_ROUNDS = 25
@@ -254,6 +284,9 @@ def _fill(template: str, k: int) -> str:
         "hex": hexes[: (40, 32, 64)[k % 3]],
         "upper_hex": hexes[:40].upper(),
         "base64": base64.b64encode(seed.digest()[: 24 + 6 * (k % 3)]).decode(),
+        "short": mixed[: 8 + k % 8],
+        "marked": f"{mixed[: 3 + k % 4]}{'@!#%&*?'[k % 7]}{mixed[9 : 13 + k % 5]}{'!$^+~'[k % 5]}",
+        "letters": "".join(chr(97 + b % 26) for b in seed.digest()[: 16 + k % 9]),
         "mixed": mixed[: 20 + 4 * (k % 6)],
         "digits": str(int(hexes[:16], 16))[: 8 + k % 5],
         "word": word,
@@ -368,7 +401,7 @@ def mask(
             return text
         out, at = [], 0
         for c in candidates(text, path or "", dictionary):
-            if forest.score(c.features) >= 0.5:
+            if c.start >= at and forest.score(c.features) >= 0.5:
                 out += [text[at : c.start], with_]
                 at = c.start + len(c.text)
         return "".join([*out, text[at:]]) if out else text

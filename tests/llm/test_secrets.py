@@ -62,3 +62,26 @@ def test_unquoted_secrets_are_not_taught_as_others(llm):
     assert counts[0.0] <= n // 2 and counts[1.0] == n // 2
     unquoted = {f"{a}{MIXED}{b}": True for a, b in shapes}
     assert judged(llm, queries.secret_forest(corpus), KINDS | unquoted) == KINDS | unquoted
+
+
+ASSIGNED = {
+    'password = "Tr0ub4dor"': "Tr0ub4dor",
+    "password: p@ss!w0rd#91,": "p@ss!w0rd#91",
+    'secret = "qwertzuiopasdfghjklyx"': "qwertzuiopasdfghjklyx",
+    "DB_PASSWORD=xK3vq9Lw\n": "xK3vq9Lw",
+}
+
+
+def test_short_and_marked_values_are_seen(llm, large_forest):
+    words = queries.dictionary()
+    for text, value in ASSIGNED.items():
+        found = [c for c in secret_scan.candidates(text, "", words) if c.text == value]
+        assert [c.start for c in found] == [text.index(value)]
+    assert all(judged(llm, large_forest, ASSIGNED).values())
+    plain = ["the password: remember of", 'the key = "question and answer" of', "secret: ${vault}"]
+    assert not any(judged(llm, large_forest, plain).values())
+    docs = llm.createDataFrame([(t,) for t in ASSIGNED], "text string")
+    masked = {r.text for r in secret_scan.mask(docs, large_forest, words).collect()}
+    assert masked == {t.replace(v, "[secret]") for t, v in ASSIGNED.items()}
+    nested = f'token = "see {HEX} there"'
+    assert {c.text for c in secret_scan.candidates(nested, "", words)} == {f"see {HEX} there", HEX}
