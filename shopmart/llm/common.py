@@ -10,9 +10,10 @@ import zipfile
 from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -75,6 +76,37 @@ def lookup(many: DataFrame, one: DataFrame, key: str, n_rows: str) -> DataFrame:
     return found.unionByName(others)
 
 
+# Bits of a bitmap of hashed keys: 1 MB, whatever the size of the tables.
+BITMAP_BITS = 1 << 23
+
+
+def bitmap_place(key: str) -> Column:
+    """The bit that stands for a key."""
+    return F.pmod(F.xxhash64(key), F.lit(BITMAP_BITS)).cast("int")
+
+
+def bitmap(keys: DataFrame, key: str) -> np.ndarray:
+    """A bitmap of hashed keys, gathered on the driver: it says of rows which surely lack a key
+    of ``keys``. The more keys, the fewer rows it rules out; its size stays the same."""
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(BITMAP_BITS, bool)
+        for batch in batches:
+            held[batch.column(0).to_numpy()] = True
+        yield pa.RecordBatch.from_pydict({"bits": [np.packbits(held).tobytes()]})
+
+    known = np.zeros(BITMAP_BITS // 8, np.uint8)
+    parts = keys.select(bitmap_place(key).alias("place")).coalesce(32)
+    for row in parts.mapInArrow(tidy(bits), "bits binary").toLocalIterator():
+        known |= np.frombuffer(row.bits, np.uint8)
+    return known
+
+
+def in_bitmap(known: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Whether the bit of each place is set."""
+    return (known[places >> 3] >> (7 - (places & 7)) & 1).astype(bool)
+
+
 # Bytes of rows that Spark hands to a Python worker at a time, so that long texts do not add up.
 BATCH_BYTES = 1 << 24
 

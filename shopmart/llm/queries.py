@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from shopmart.llm import (
     bpe,
     fingerprints,
+    license_scan,
+    manifest,
     neighbours,
     packing,
+    periodic_runs,
     quality,
     secret_scan,
     simhash,
@@ -20,6 +23,7 @@ from shopmart.llm import (
     url_lists,
     warc,
 )
+from shopmart.llm import oracle_sql as oracle_sql_texts
 from shopmart.llm.common import documents, new_folder, ship, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -223,6 +227,67 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
+def crc32_of_id() -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``documents`` (id and text) in whose tenth part, by a checksum of the id, the words from one on repeat
+    those before them; other texts stay as they are."""
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    g = F.floor(crc32_of_id() / 10)
+
+    def edited(found: Column) -> Column:
+        n = F.size(found).cast("long")
+        a = F.pmod(g, n).cast("int")
+        period = (1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))).cast("int")
+        later = F.transform(
+            F.sequence(F.lit(0), (n - a - 1).cast("int")),
+            lambda k: F.get(found, a + F.pmod(k, period)),
+        )
+        whole = F.array_join(F.concat(F.slice(found, F.lit(1), a), later), " ")
+        return F.when(n > 0, whole).otherwise(F.col("text"))
+
+    chosen = F.pmod(crc32_of_id(), F.lit(10)) == 0
+    text = F.when(chosen, fingerprints.bound(words, edited)).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    found = periodic_runs.find_runs(with_planted_runs(documents(spark, sf_dir)))
+    best = periodic_runs.strongest(F.col("runs"))
+    found = found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best.alias("best"),
+        F.transform(
+            "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+        ).alias("lines"),
+        "collapsed",
+    )
+    milli = F.floor(1000 * F.col("best.length") / F.col("best.period"))
+    return found.select(
+        "doc_id",
+        "n_runs",
+        "best.start",
+        "best.length",
+        "best.period",
+        milli.cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join("lines", "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir))
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.pmod(crc32_of_id(), F.lit(5)) == 0
+    return manifest.verified_manifest(documents(spark, sf_dir), tampered)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_warc": op1_warc,
@@ -235,8 +300,20 @@ def queries() -> dict[str, Query]:
         "op8_url_lists": op8_url_lists,
         "op9_token_files": op9_token_files,
         "op10_bpe": op10_bpe,
+        "op11_periodic_runs": op11_periodic_runs,
+        "op12_licenses": op12_licenses,
+        "op13_manifest": op13_manifest,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_url_lists": OP8_SQL}
+    return {
+        "op8_url_lists": OP8_SQL,
+        "op12_licenses": oracle_sql_texts.licenses(
+            license_scan.PHRASES,
+            license_scan.TEMPLATES,
+            license_scan.CONTAINMENT,
+            license_scan.LEAST_STRIDE,
+        ),
+        "op13_manifest": oracle_sql_texts.manifest(),
+    }

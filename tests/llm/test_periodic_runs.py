@@ -1,0 +1,161 @@
+"""Periodic runs against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shopmart.llm import periodic_runs, queries
+
+TINY = "/root/testdata/sf0.001"
+
+
+def brute_runs(words: list, least: int = 6, power: int = 4) -> list[tuple[int, int, int]]:
+    """Start, length, period of all runs, by trying every period."""
+    numbers = {x: k for k, x in enumerate(dict.fromkeys(words))}
+    w = np.array([numbers[x] for x in words], np.int64)
+    found = []
+    for q in range(1, len(w) // power + 1):
+        equal = np.concatenate([[False], w[:-q] == w[q:], [False]])
+        edges = np.flatnonzero(equal[1:] != equal[:-1])
+        for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+            if b - a + q >= max(least, power * q):
+                run = w[a : b + q]
+                if not any((run[d:] == run[:-d]).all() for d in range(1, q)):
+                    found.append((a, b - a + q, q))
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def brute_collapsed(words: list, runs: list[tuple]) -> list:
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    return [w for i, w in enumerate(words) if i not in gone]
+
+
+def mixed_words(rng: random.Random, n: int) -> list[str]:
+    k, out = rng.choice([1, 2, 3, 60]), []
+    while len(out) < n:
+        if rng.random() < 0.5:
+            out += [f"w{rng.randrange(k)}" for _ in range(rng.randrange(1, 20))]
+        else:
+            q = rng.choice([1, 2, 3, 5, 8, 12, 30])
+            unit = [f"w{rng.randrange(k)}" for _ in range(q)]
+            out += (unit * 8)[: rng.randrange(q, q * 8)]
+    return out[:n]
+
+
+def test_tiles_alone():
+    rng = random.Random(1)
+    for _ in range(60):
+        docs = [mixed_words(rng, rng.randrange(0, 250)) for _ in range(rng.randrange(1, 7))]
+        numbers = [np.array([int(x[1:]) for x in d], np.uint16) for d in docs]
+        found: dict[int, list] = {}
+        for k, a, b, q in periodic_runs.solve(numbers, [1 << k for k in range(10)]):
+            found.setdefault(k, []).append((a, b - a, q))
+        for k, d in enumerate(docs):
+            assert sorted(found.get(k, [])) == sorted(brute_runs(d))
+
+
+def test_hashes_that_deceive_are_compared_by_words():
+    w = np.array([0, 1, 2, 3] * 4 + [4, 5, 6, 7, 7, 7, 7, 7, 7, 7, 8, 9], np.int64)
+    equal = np.full(len(w) - 7, 3, np.uint64)
+    found = periodic_runs._shifts(w, equal, 4)
+    for k, b in enumerate(range(0, len(equal), 4)):
+        if b + 9 <= len(w):
+            assert found[k] == periodic_runs._smallest_shift(w, b, 8)
+    assert found[0] == 4
+
+
+def test_query_equals_brute_force(llm, tiny_docs):
+    rows = {r.doc_id: r for r in queries.op11_periodic_runs(llm, TINY).collect()}
+    edits = 0
+    for doc in tiny_docs.select("doc_id", "text").collect():
+        words = (doc.text or "").encode().split()
+        n, h = len(words), zlib.crc32(str(doc.doc_id).encode())
+        if h % 10 == 0 and n:
+            g = h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+            edits += 1
+        runs = brute_runs(words)
+        row = rows.pop(doc.doc_id)
+        lines = "".join(f"{s},{m},{q}\n" for s, m, q in runs)
+        assert row.n_runs == len(runs)
+        assert row.runs_sha256 == hashlib.sha256(lines.encode()).hexdigest()
+        kept = b" ".join(brute_collapsed(words, runs))
+        assert row.collapsed_sha256 == hashlib.sha256(kept).hexdigest()
+        if runs:
+            s, m, q = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]))
+            assert (row.start, row.length, row.period, row.exponent_milli) == (s, m, q, 1000 * m // q)
+        else:
+            assert row.start is row.length is row.period is row.exponent_milli is None
+    assert edits > 10 and not rows
+
+
+def test_long_texts_over_many_tiles(llm):
+    """Runs that cross tiles, of base and higher levels, and periods of thousands of words."""
+    rng = random.Random(7)
+
+    def text(n):
+        return [f"w{rng.randrange(5000)}" for _ in range(n)]
+
+    across = [*text(20_000), *(text(3) * 9_000), *text(3000), *(text(900) * 6), *text(10)]
+    long_period = [*text(500), *(text(3100) * 9)[: 3100 * 7 + 77], *text(400)]
+    nested = [*text(100), *((text(40) * 5 + text(1100)) * 9), *text(60)]
+    same = ["a"] * 70_000
+    two = (["a"] * 30_000) + ["b"] + (["a"] * 30_000)
+    docs = [across, long_period, nested, same, two]
+    rows = [(k, " ".join(d)) for k, d in enumerate(docs)]
+    frame = llm.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in periodic_runs.find_runs(frame).collect()}
+    for k, words in enumerate(docs):
+        runs = [(0, 70_000, 1)] if k == 3 else brute_runs(words)
+        assert [tuple(r) for r in found[k].runs] == runs and runs
+        assert found[k].collapsed.split() == brute_collapsed(words, runs)
+
+
+@pytest.mark.parametrize("least, power", [(6, 4), (40, 4), (3, 6)])
+def test_bounds_are_parameters(llm, least, power):
+    rng = random.Random(least)
+    docs = [mixed_words(rng, 200) for _ in range(20)]
+    frame = llm.createDataFrame([(k, " ".join(d)) for k, d in enumerate(docs)], "doc_id long, text string")
+    found = periodic_runs.find_runs(frame, min_length=least, power=power)
+    for row in found.collect():
+        assert [tuple(r) for r in row.runs] == brute_runs(docs[row.doc_id], least, power)
+    with pytest.raises(ValueError, match="power"):
+        periodic_runs.find_runs(frame, power=3)
+
+
+def test_strongest_compares_exactly(llm):
+    big = 10**12
+    runs = [(0, 4 * big - 1, big), (1, 4, 1), (2, 8, 2), (0, 5, 2)]
+    frame = llm.createDataFrame([(runs,), ([],)], f"runs {periodic_runs.RUNS}")
+    best = [r.b for r in frame.select(periodic_runs.strongest(F.col("runs")).alias("b")).collect()]
+    assert tuple(best[0]) == (1, 4, 1) and best[1] is None
+
+
+def test_odd_rows(odd_docs, no_docs, llm):
+    found = periodic_runs.find_runs(odd_docs)
+    rows = sorted(((r.doc_id is not None, r.doc_id), r.collapsed, len(r.runs)) for r in found.collect())
+    assert len(rows) == odd_docs.count() and found.columns == ["doc_id", "runs", "collapsed"]
+    by_id = {k[1]: (text, n) for k, text, n in rows}
+    assert by_id[1] == by_id[2] == by_id[3] == ("", 0)
+    assert by_id[7] == ("Ünïcode 日本語 \U0001f642", 1)
+    assert by_id[None] == ("no id here", 0)
+    assert periodic_runs.find_runs(no_docs).count() == 0
+    # Repeated rows each get a row; rows with the same id keep their own texts.
+    twice = llm.createDataFrame(
+        [(1, "x " * 9, 1), (1, "x " * 9, 1), (1, "y z " * 9, 1), (None, "x " * 9, 2)],
+        "doc_id long, text string, runs long",
+    )
+    texts = sorted(r.collapsed for r in periodic_runs.find_runs(twice).collect())
+    assert texts == ["x", "x", "x", "y z"]
+    names = llm.createDataFrame([("a", "u " * 7, "k")], "name string, body string, key string")
+    (row,) = periodic_runs.find_runs(names, "name", "body").collect()
+    assert (row.name, row.collapsed, [tuple(r) for r in row.runs]) == ("a", "u", [(0, 7, 1)])
