@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Mapping
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -41,3 +44,18 @@ def build_spark(
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per Spark application, so that their Python workers can
+    import it wherever the driver was started."""
+    context = spark.sparkContext
+    if getattr(context, "_shipped_package", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._shipped_package = True

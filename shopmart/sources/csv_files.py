@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopmart.schemas import OPTIONAL_TYPES, RAW_SCHEMAS, RAW_TABLES
+from shopmart.sources.quoted_csv import read_quoted_csv
 
 SUFFIX = "_dataset"
 
@@ -122,6 +123,7 @@ def read_csv(
     multi_line: bool = True,
     infer: bool = False,
     mode: str = "FAILFAST",
+    whole_files: bool = False,
 ) -> DataFrame:
     """Rows of one table.
 
@@ -129,10 +131,10 @@ def read_csv(
     once. A value that does not fit its declared type raises rather than turn
     into NULL. All parts must have the same header.
 
-    ``multi_line`` is needed if a quoted field may hold a line break, and
-    makes each file one task: ship large tables as a folder of many files, or
-    turn it off where no field has line breaks, and files are split.
-    ``infer`` takes all types from the data instead, at the cost of a scan.
+    ``multi_line`` is needed if a quoted field may hold a line break. Files are split over
+    tasks either way, but then they are scanned for quotes first (see ``quoted_csv``); ``whole_files``
+    reads each with line breaks in one task instead, which also allows for a quote in an unquoted field.
+    ``infer`` takes all types from the data, at the cost of a scan and with whole files.
     """
     reader = _reader(spark, multi_line)
     if infer:
@@ -140,6 +142,8 @@ def read_csv(
     header = reader.csv(source.first_file).columns
     if not header:
         raise ValueError(f"{source.first_file} has no header")
+    if multi_line and not whole_files:
+        return read_quoted_csv(spark, source.path, declared_schema(table, header), mode)
     return (
         reader.schema(declared_schema(table, header))
         .option("enforceSchema", "false")

@@ -174,7 +174,9 @@ def test_plain_files_are_split(spark, tmp_path):
     source = list_csv(spark, str(tmp_path / "src"))["customers"]
     with settings(spark, spark__sql__files__maxPartitionBytes="64KB", spark__sql__files__openCostInBytes="1KB"):
         assert read_csv(spark, "customers", source, multi_line=False).rdd.getNumPartitions() > 4
-        assert read_csv(spark, "customers", source, multi_line=True).rdd.getNumPartitions() == 1
+        assert read_csv(spark, "customers", source, multi_line=True).rdd.getNumPartitions() > 4
+        whole = read_csv(spark, "customers", source, whole_files=True)
+        assert whole.rdd.getNumPartitions() == 1 and whole.count() == 20_000
 
 
 def test_parts_with_other_columns_raise(spark, tmp_path):
