@@ -1,4 +1,4 @@
-"""How far a join multiplies rows."""
+"""How far a join multiplies rows, and a join whose heavy keys are dealt out."""
 
 from __future__ import annotations
 
@@ -31,3 +31,37 @@ def fanout(
         F.sum(joined).cast("double").alias("joined_rows"),
         F.sum("l").cast("double").alias("joined_rows_after_grouping"),
     ).select(F.lit(name).alias("join_name"), "*")
+
+
+# A key with over a thousandth of the rows is heavy; by arithmetic there are fewer than a thousand.
+HEAVY_SHARE = 1000
+
+
+def heavy_keys(rows: DataFrame, key: str) -> DataFrame:
+    """Keys with over 1/1000 of all rows, exactly, and their ``salts``: parts of 1/1000 each.
+
+    Rows are counted per key on the map side first, so a heavy key costs no more than another.
+    """
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col(key).isNotNull())
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    heavy = counts.where(F.col("n") * HEAVY_SHARE > total)
+    return heavy.select(key, F.ceil(F.col("n") * HEAVY_SHARE / total).cast("int").alias("salts"))
+
+
+def spread_join(many: DataFrame, one: DataFrame, key: str) -> DataFrame:
+    """Inner join of ``many`` to ``one`` on a key that any number of rows of ``many`` may share.
+
+    Rows of a heavy key are dealt out over its salts by their place in ``many``, so equal rows are too, and the rows of
+    ``one`` with such a key are repeated for each salt: fewer than 2,000 more rows per repetition of a key in
+    ``one``. The heavy keys, fewer than 1,000 by arithmetic, are broadcast. All is one plan, in which
+    no task gets much more than a thousandth of the rows for one key; there is no switch by size. ``many`` is a scan of files,
+    whose rows have the same places when a task is repeated.
+    """
+    salts, salt = "__salts", "__salt"
+    heavy = F.broadcast(heavy_keys(many, key).withColumnRenamed("salts", salts))
+    place = F.xxhash64(F.monotonically_increasing_id())
+    chosen = F.pmod(place, F.coalesce(F.col(salts), F.lit(1))).cast("int").alias(salt)
+    left = many.join(heavy, key, "left").select(*many.columns, chosen)
+    each = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(salts), F.lit(1)) - 1)).alias(salt)
+    right = one.join(heavy, key, "left").select(*one.columns, each)
+    return left.join(right, [key, salt]).drop(salt)

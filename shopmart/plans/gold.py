@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopmart.functions.columns import days_between, item_revenue, order_item_key
+from shopmart.operators.joins import spread_join
 from shopmart.plans.silver import ZIP
 from shopmart.schemas import FACT_COLUMNS, PRODUCT_SIZES, RAW_SCHEMAS
 
@@ -80,7 +81,7 @@ def order_measures(orders: DataFrame, reviews: DataFrame, *carry: str) -> DataFr
 
 def item_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Items whose order exists, with their revenue and nothing from the order."""
-    return with_revenue(items).join(orders.select("order_id"), "order_id", "inner")
+    return spread_join(with_revenue(items), orders.select("order_id"), "order_id")
 
 
 def with_revenue(items: DataFrame) -> DataFrame:
@@ -90,12 +91,12 @@ def with_revenue(items: DataFrame) -> DataFrame:
 def sales_lines(items: DataFrame, measures: DataFrame) -> DataFrame:
     """Items with their order's measures; an item without an order is dropped.
 
-    Where ``measures`` is a written table, both sides are shuffled for this join only, and
-    Spark splits an order with very many items itself.
+    An order with very many items is dealt out over several tasks.
     """
     lines = items.select(*RAW_SCHEMAS["order_items"].fieldNames())
     key = order_item_key(F.col("order_id"), F.col("order_item_id"))
-    return with_revenue(lines.join(measures, "order_id")).withColumn("order_item_key", key)
+    joined = spread_join(lines, measures, "order_id")
+    return with_revenue(joined).withColumn("order_item_key", key)
 
 
 def fact_order_items(items: DataFrame, orders: DataFrame, reviews: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from helpers import final_plan, settings, tuples
 from pyspark.sql import functions as F
 
-from shopmart.operators.joins import fanout
+from shopmart.operators.joins import fanout, heavy_keys, spread_join
 from shopmart.plans import gold as g
 from shopmart.plans import marts
 
@@ -72,7 +72,7 @@ def test_adaptive_planner_splits_the_wide_view(spark, skewed, tmp_path):
     assert plan.count("SortMergeJoin(skew=true)") == 2
 
 
-def test_adaptive_planner_splits_items_and_payments(spark, skewed, orders, tmp_path):
+def test_adaptive_planner_splits_payments(spark, skewed, orders, tmp_path):
     on_disk = saved(
         spark, orders.withColumn("order_purchase_timestamp", F.current_timestamp()), tmp_path / "o"
     )
@@ -80,8 +80,6 @@ def test_adaptive_planner_splits_items_and_payments(spark, skewed, orders, tmp_p
         "order_id", F.lit("card").alias("payment_type"), F.col("price").alias("payment_value")
     )
     with settings(spark, **SKEW_SETTINGS):
-        lines = g.item_lines(skewed, on_disk).groupBy("product_id").agg(F.sum("item_revenue"))
-        assert "skew=true" in final_plan(lines)
         view = marts.dw_payments_joined(payments, on_disk)
         assert "skew=true" in final_plan(marts.payment_value_by_month(view))
 
@@ -111,16 +109,53 @@ def test_adaptive_planner_splits_a_hot_customer(spark, tmp_path):
         assert "skew=true" in final_plan(marts.with_customer(measures, customers))
 
 
-def test_adaptive_planner_splits_a_hot_order(spark, skewed, orders, tmp_path):
-    """A third of the items belong to one order, and its measures are a written table."""
-    measures = orders.withColumns(
-        {"delivery_time_days": F.lit(3), "review_score": F.lit(4.0)}
+# No broadcast but those asked for, no help of the adaptive planner.
+PLAIN_SETTINGS = {
+    "spark__sql__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__enabled": "false",
+    "spark__sql__shuffle__partitions": "16",
+}
+
+
+def rows_per_task(df) -> list[int]:
+    return sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+
+
+def test_a_hot_order_is_dealt_out(spark, skewed, orders):
+    """A third of the items belong to one order, in the same plan as the grouping of the reviews."""
+    reviews = orders.select("order_id", F.lit(4).alias("review_score"))
+    dated = orders.withColumns(
+        {
+            "order_purchase_timestamp": F.lit("2017-01-01 00:00:00").cast("timestamp"),
+            "order_delivered_customer_date": F.lit("2017-01-04 00:00:00").cast("timestamp"),
+        }
     )
-    staged = saved(spark, measures, tmp_path / "measures")
-    with settings(spark, **SKEW_SETTINGS):
-        fact = g.sales_lines(skewed, staged)
-        assert "skew=true" in final_plan(fact)
+    with settings(spark, **PLAIN_SETTINGS):
+        fact = g.fact_order_items(skewed, dated, reviews)
+        counts = rows_per_task(fact)
+        assert len(counts) == 16 and counts[-1] <= 2 * counts[8]
+        counts = rows_per_task(g.item_lines(skewed, dated))
+        assert len(counts) == 16 and counts[-1] <= 2 * counts[8]
+        plain = skewed.join(g.order_measures(dated, reviews), "order_id")
+        assert rows_per_task(plain)[-1] > 4 * rows_per_task(plain)[8]
         assert fact.where("order_id = 'hot'").count() == 20_000
+        assert fact.count() == plain.count()
+        assert "BroadcastHashJoin" in fact._jdf.queryExecution().executedPlan().toString()
+
+
+def test_spread_join_equals_a_plain_join(spark):
+    """Repeated keys on both sides, missing ones, nulls, and a column with the name of the key's copy."""
+    many = spark.sql(
+        "SELECT CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 7 = 0 THEN NULL ELSE 'k' || id % 900 END AS k, id % 50 AS v "
+        "FROM range(5000)"
+    )
+    one = spark.sql(
+        "SELECT * FROM VALUES ('hot', 1), ('hot', 2), ('k1', 3), ('k2', 4), (NULL, 5), ('none', 6) AS t(k, w)"
+    )
+    assert tuples(spread_join(many, one, "k")) == tuples(many.join(one, "k"))
+    assert spread_join(many.limit(0), one, "k").isEmpty() and spread_join(many, one.limit(0), "k").isEmpty()
+    heavy = {r.k: r.salts for r in heavy_keys(many, "k").collect()}
+    assert heavy["hot"] == 334 and None not in heavy and sum(heavy.values()) < 2000
 
 
 def test_small_one_side_is_broadcast_as_it_is(spark, skewed, tmp_path):
