@@ -66,22 +66,39 @@ def _row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return counted.select(F.explode(rows).alias("r")).select("r.*")
 
 
-def _unique_check(df: DataFrame, check: Check) -> DataFrame:
-    repeated = (
-        df.where(F.col(check.column).isNotNull())
-        .groupBy(check.column)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.count_if(F.col("n") > 1).alias("f"))
+def _unique_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """All key tests of one table in one scan and one grouping, by test and value."""
+    keys = F.array(
+        *[
+            F.struct(F.lit(i).alias("i"), F.col(c.column).cast("string").alias("k"))
+            for i, c in enumerate(checks)
+        ]
     )
-    return repeated.select(_report_row(check, F.col("f")).alias("r")).select("r.*")
+    values = df.select(F.explode(keys).alias("key")).select("key.*").where(F.col("k").isNotNull())
+    counts = values.groupBy("i", "k").agg(F.count(F.lit(1)).alias("n"))
+    repeated = [
+        F.count_if((F.col("i") == i) & (F.col("n") > 1)).alias(f"f{i}") for i in range(len(checks))
+    ]
+    rows = F.array(*[_report_row(c, F.col(f"f{i}")) for i, c in enumerate(checks)])
+    return counts.agg(*repeated).select(F.explode(rows).alias("r")).select("r.*")
+
+
+def row_metrics(checks: Sequence[Check]) -> dict[str, Column]:
+    """Failures of row-level tests as aggregates by position, for a pass that reads the rows anyway."""
+    return {
+        f"failures_{i}": F.count_if(_row_failure(c))
+        for i, c in enumerate(checks)
+        if c.test != "unique"
+    }
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Report of (model, column_name, test, failures), one row per check."""
     if not checks:
         raise ValueError("no checks to run")
-    parts = [_unique_check(tables[c.model], c) for c in checks if c.test == "unique"]
-    row_level = [c for c in checks if c.test != "unique"]
-    for model in dict.fromkeys(c.model for c in row_level):
-        parts.append(_row_checks(tables[model], [c for c in row_level if c.model == model]))
+    parts = []
+    for kind, run in ((True, _unique_checks), (False, _row_checks)):
+        own = [c for c in checks if (c.test == "unique") == kind]
+        for model in dict.fromkeys(c.model for c in own):
+            parts.append(run(tables[model], [c for c in own if c.model == model]))
     return reduce(DataFrame.unionByName, parts)

@@ -1,8 +1,18 @@
-from helpers import tuples
+from helpers import final_plan, tuples
+from pyspark.sql import functions as F
 
-from shopmart.operators.duplicates import count_tables, profile_tables
-from shopmart.operators.quality import accepted_values, expression, not_null, run_checks, unique
+from shopmart.operators import duplicates
+from shopmart.operators.duplicates import count_tables, duplicate_profile, profile_tables
+from shopmart.operators.quality import (
+    accepted_values,
+    expression,
+    not_null,
+    row_metrics,
+    run_checks,
+    unique,
+)
 from shopmart.plans.checks import declared_checks, key_checks, value_checks
+from shopmart.sinks.parquet_tables import ROWS, write_measured
 
 
 def test_ten_declared_checks():
@@ -54,6 +64,42 @@ def test_copies_with_null_are_copies(spark):
     assert tuples(profile_tables({"t": df})) == [("t", 3, 2, 1)]
 
 
+def test_profile_when_digests_deceive(spark, monkeypatch):
+    """Rows of one digest are compared whole."""
+    df = spark.sql("SELECT * FROM VALUES (1, 'a'), (1, 'a'), (2, 'b'), (3, NULL), (NULL, '3') AS t(n, s)")
+    exact = tuples(profile_tables({"t": df}))
+    monkeypatch.setattr(duplicates.F, "xxhash64", lambda *columns: duplicates.F.lit(7).cast("long"))
+    assert tuples(profile_tables({"t": df})) == exact == [("t", 5, 4, 1)]
+
+
+def test_digests_and_not_rows_cross_the_shuffle(spark, tmp_path):
+    wide = spark.range(4000).select(
+        "id", *[F.concat(F.lit(f"{k} "), F.sha2(F.col("id").cast("string"), 512)).alias(f"c{k}") for k in range(8)]
+    )
+    wide.write.parquet(str(tmp_path / "wide"))
+    profile = duplicate_profile("wide", spark.read.parquet(str(tmp_path / "wide")))
+    assert tuples(profile) == [("wide", 4000, 4000, 0)]
+    plan = final_plan(duplicate_profile("wide", spark.read.parquet(str(tmp_path / "wide"))))
+    assert "Exchange hashpartitioning(__d1" in plan
+
+
+def test_keys_of_a_table_share_one_grouping(spark):
+    df = spark.sql("SELECT * FROM VALUES (1, 'a', 5), (1, 'b', 5), (2, 'b', NULL), (3, NULL, NULL) AS t(i, s, n)")
+    checks = [unique("t", c) for c in ("i", "s", "n")]
+    report = run_checks({"t": df}, checks)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert tuples(report) == [("t", "i", "unique", 1), ("t", "n", "unique", 1), ("t", "s", "unique", 1)]
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert tuples(run_checks({"t": df.limit(0)}, checks[:1])) == [("t", "i", "unique", 0)]
+
+
+def test_row_tests_in_the_pass_that_writes(spark, tmp_path):
+    df = spark.sql("SELECT * FROM VALUES (1, 'x'), (-1, 'y'), (NULL, NULL) AS t(n, s)")
+    checks = [not_null("t", "n"), accepted_values("t", "s", ["x"]), unique("t", "n"), expression("t", "n", "n > 0")]
+    found = write_measured(df, str(tmp_path / "t"), row_metrics(checks))
+    assert found == {ROWS: 3, "failures_0": 1, "failures_1": 1, "failures_3": 1}
+
+
 def test_row_counts(shop):
     assert tuples(count_tables({"orders": shop["orders"], "sellers": shop["sellers"]})) == [
         ("orders", 7),
