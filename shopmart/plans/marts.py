@@ -265,3 +265,81 @@ def payment_trends_pivot(joined: DataFrame, types: Sequence[str]) -> DataFrame:
         .pivot("payment_type", [*types, "other", "unknown"])
         .agg(F.sum("total_value"))
     )
+
+
+# One additive summary for the questions on sales
+
+SUMMARY_KEYS = ("order_month", "product_category_name_english", "seller_id", "customer_state")
+_SUMMED = ("items", "revenue", "days", "delivered", "score", "scored")
+
+
+def sales_summary(
+    fact: DataFrame,
+    orders: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    sellers: DataFrame,
+) -> DataFrame:
+    """Sums and counts of the sales per month, category, known seller and customer's state.
+
+    Everything in it adds up, so each question below sums some of it further. Items meet their orders
+    once and are summed per product and seller; only these sums meet products and sellers.
+    """
+    dated = with_customer(orders.select("order_id", "customer_id", "order_purchase_timestamp"), customers)
+    dated = dated.select(
+        "order_id", month_of(F.col("order_purchase_timestamp")).alias("order_month"), "customer_state"
+    )
+    days, score = F.col("delivery_time_days"), F.col("review_score").cast("decimal(18,12)")
+    per_item = [
+        F.count(F.lit(1)).alias("items"),
+        F.sum("item_revenue").alias("revenue"),
+        F.sum(days.cast("long")).alias("days"),
+        F.count(days).alias("delivered"),
+        F.sum(score).alias("score"),
+        F.count(score).alias("scored"),
+    ]
+    sums = [F.sum(c).alias(c) for c in _SUMMED]
+    sold = fact.join(dated, "order_id", "left").groupBy(
+        "order_month", "customer_state", "product_id", "seller_id"
+    )
+    per_product = _per_category(sold.agg(*per_item), products)
+    known = sellers.select(F.col("seller_id").alias("known_seller"))
+    joined = per_product.join(known, F.col("seller_id") == F.col("known_seller"), "left")
+    joined = joined.drop("seller_id").withColumnRenamed("known_seller", "seller_id")
+    return joined.groupBy(*SUMMARY_KEYS).agg(*sums)
+
+
+def _further(summary: DataFrame, key: str) -> DataFrame:
+    return summary.groupBy(key).agg(*[F.sum(c).alias(c) for c in _SUMMED])
+
+
+def summary_monthly_revenue(summary: DataFrame, limit: int | None = None) -> DataFrame:
+    return earliest(_further(summary, "order_month").select("order_month", "revenue"), ["order_month"], limit)
+
+
+def _summary_largest(summary: DataFrame, key: str, k: int | None) -> DataFrame:
+    return largest(_further(summary, key).select(key, "revenue"), "revenue", [key], k)
+
+
+def summary_revenue_by_category(summary: DataFrame, k: int = 15) -> DataFrame:
+    return _summary_largest(summary, "product_category_name_english", k)
+
+
+def summary_top_sellers(summary: DataFrame, k: int = 15) -> DataFrame:
+    return _summary_largest(summary, "seller_id", k)
+
+
+def summary_sales_by_state(summary: DataFrame, limit: int | None = None) -> DataFrame:
+    return _summary_largest(summary, "customer_state", limit)
+
+
+def summary_delivery_by_state(summary: DataFrame, k: int = 30) -> DataFrame:
+    mean_days = mean(F.col("days"), F.col("delivered")).alias("avg_delivery_days")
+    states = _further(summary, "customer_state").select("customer_state", mean_days)
+    return largest(states, "avg_delivery_days", ["customer_state"], k)
+
+
+def summary_review_by_category(summary: DataFrame, k: int = 15) -> DataFrame:
+    key = "product_category_name_english"
+    mean_score = mean(F.col("score"), F.col("scored")).alias("avg_review_score")
+    return largest(_further(summary, key).select(key, mean_score), "avg_review_score", [key], k)
