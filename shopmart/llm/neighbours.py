@@ -37,6 +37,7 @@ DIMS = 8  # even, which gives the chi-square distribution a closed form
 SURE = 0.98
 SAMPLE = 20_000
 LEAF_ROWS = 4_000
+BLOCK_QUERIES = 1_024
 SEED = 7
 
 
@@ -183,9 +184,16 @@ def search(
 
     # The tree is fitted on a bounded sample; all rows are indexed.
     share = min(1.0, SAMPLE / max(1, n))
-    sample = usable.sample(share, seed=SEED).limit(2 * SAMPLE) if share < 1 else usable
-    rows = sample.select("v").toPandas()["v"]
-    fitted = np.array(rows.tolist(), float).reshape(-1, size) @ directions
+    sample = usable.sample(share, seed=SEED) if share < 1 else usable
+
+    def project_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low = np.ascontiguousarray(project(batch)[1])
+            yield pa.RecordBatch.from_arrays([pa.array(low.tolist(), pa.list_(pa.float64()))], ["low"])
+
+    # Projected by the tasks: the driver gets ``DIMS`` numbers a row.
+    rows = sample.select("v").mapInArrow(project_all, "low array<double>").toPandas()["low"]
+    fitted = np.array(rows.tolist(), float).reshape(-1, DIMS)
     tree = Leaves(fitted, -(-n // leaf_rows))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,18 +209,23 @@ def search(
 
     def meet(asked: DataFrame) -> DataFrame:
         """Queries (id, v, leaf, bound) against the rows of their leaves, in blocks."""
-        # A leaf that holds much more than its share is cut into blocks by id. One row per
+        # A leaf that holds much more than its share is cut into blocks by id, and so are its
+        # queries if they are many: each block of queries meets each block of rows. One row per
         # leaf is broadcast, and there are no more leaves than rows in the sample.
         blocks = placed.groupBy("leaf").agg(
             F.ceil(F.count(F.lit(1)) / (2 * leaf_rows)).cast("int").alias("blocks")
         )
-        counted = stored(blocks, "leaf-blocks")
+        parts = asked.groupBy("leaf").agg(
+            F.ceil(F.count(F.lit(1)) / BLOCK_QUERIES).cast("int").alias("parts")
+        )
+        counted = stored(blocks.join(parts, "leaf"), "leaf-blocks")
         block = F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("block")
-        cut = placed.join(F.broadcast(counted), "leaf").select("leaf", block, "id", "v")
+        part = F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part")
+        each_block = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+        each_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+        cut = placed.join(F.broadcast(counted), "leaf").select("leaf", block, each_part, "id", "v")
         cut = cut.select(*[F.col(c).alias(c) for c in cut.columns])  # apart from the queries' columns
-        every = asked.join(F.broadcast(counted), "leaf").select(
-            "leaf", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "id", "v", "bound"
-        )
+        every = asked.join(F.broadcast(counted), "leaf").select("leaf", each_block, part, "id", "v", "bound")
 
         def compare(left: pa.Table, right: pa.Table) -> pa.Table:
             out: list[tuple[int, int, float, float]] = []
@@ -234,7 +247,7 @@ def search(
             arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
             return pa.table(arrays, names=["id", "neighbour", "score", "bound"])
 
-        keys = ("leaf", "block")
+        keys = ("leaf", "block", "part")
         return cut.groupBy(*keys).cogroup(every.groupBy(*keys)).applyInArrow(compare, answer)
 
     best = Window.partitionBy("id").orderBy("score", "neighbour")
@@ -265,6 +278,7 @@ def search(
             )
 
     further = known.mapInArrow(spread, "id long, v array<double>, bound double, leaf int")
+    further = stored(further, "further-leaves")
     both = home.drop("rank").unionByName(meet(further))
     return nearest(both).select(
         F.col("id").alias("query_id"), "rank", F.col("neighbour").alias(id_col), "score"

@@ -1,14 +1,15 @@
 """Filters of addresses by lists that change over time.
 
 A list entry is dated: from then on a domain (with all below it) or a page is on a list,
-or no longer. An entry holds until the next one for the same list and key. An as-of
-join finds, for every capture, the state of each entry at the time of its fetch.
+or no longer. Entries become validity intervals: from an entry that lists a key to the next one for the same
+list and key. An as-of join finds, for every capture, the last interval of each list and key that began by
+the time of its fetch, and the capture is on the list if that interval has not ended.
 
-The join sorts changes and captures together by key and time and carries the last
-state forward. Time is cut into days, so that the rows of one key, however many, are many
-groups; what was last before a day comes from a table with one row per key and day.
+The join sorts intervals and captures together by key, list and time and deals them out in ranges of even size, so
+the rows of one key, of one day too, are spread over as many tasks as they need. Within a range the last interval is
+carried forward; what was last before a range comes from a table with one row per key, list and range.
 
-Nulls: a capture without address or time is on no list; an entry with a null in any column says
+A column ``lists`` or ``is_blocked`` of the captures gives way to the result's; all others are kept. Nulls: a capture without address or time is on no list; an entry with a null in any column says
 nothing. Changes of the same moment: a removal wins. Repeated changes count once, repeated captures
 each get a row. Empty lists leave all captures unlisted.
 """
@@ -21,9 +22,6 @@ from pyspark.sql.window import Window
 
 from shopmart.llm.common import lookup, stored
 
-DAY = 86_400
-
-
 def host(url: Column) -> Column:
     """The host of an address in lower case, without user, port or final dot; '' if there is none."""
     found = F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)
@@ -58,15 +56,17 @@ def keys(url: Column) -> Column:
 def intervals(entries: DataFrame) -> DataFrame:
     """Entries (list, key, at, is_listed) as validity intervals: list, key, valid_from, valid_to.
 
-    ``valid_to`` is null where an entry still holds. Touching intervals stay apart.
+    ``valid_to`` is null where an entry still holds. Touching intervals stay apart. The entries of one key
+    are ordered over as many ranges as they fill; the first of each range ends the last of the one before.
     """
-    clean = _changes(entries)
-    after = Window.partitionBy("list", "key").orderBy("at")
-    return (
-        clean.withColumn("valid_to", F.lead("at").over(after))
-        .where("is_listed")
-        .select("list", "key", F.col("at").alias("valid_from"), "valid_to")
-    )
+    dealt = _changes(entries).repartitionByRange("key", "list", "at")
+    dealt = stored(dealt.select("*", F.spark_partition_id().alias("range")), "list-changes")
+    after = F.lead("at").over(Window.partitionBy("range", "key", "list").orderBy("at"))
+    heads = dealt.groupBy("key", "list", "range").agg(F.min("at").alias("head"))
+    later = F.lead("head").over(Window.partitionBy("key", "list").orderBy("range"))
+    found = dealt.withColumn("after", after).join(heads.withColumn("later", later), ["key", "list", "range"])
+    valid_to = F.coalesce("after", "later").alias("valid_to")
+    return found.where("is_listed").select("list", "key", F.col("at").alias("valid_from"), valid_to)
 
 
 def _changes(entries: DataFrame) -> DataFrame:
@@ -75,49 +75,53 @@ def _changes(entries: DataFrame) -> DataFrame:
 
 
 def listed(captures: DataFrame, entries: DataFrame, id_col: str, url_col: str, time_col: str) -> DataFrame:
-    """One row per distinct id and list: the lists that a capture was on when it was fetched."""
-    day = F.floor(F.unix_seconds("at") / DAY)
-    changes = _changes(entries).withColumn("day", day)
+    """``id`` and ``list``, distinct: the lists that a capture was on when it was fetched."""
+    valid = stored(intervals(entries), "list-intervals")
     asked = captures.select(
         F.col(id_col).alias("id"),
         F.explode(keys(F.col(url_col))).alias("key"),
         F.col(time_col).cast("timestamp").alias("at"),
     ).where(F.col("at").isNotNull())
     # One row per key: the lists that know it at all. A key of very many captures is broadcast.
-    known = changes.groupBy("key").agg(F.collect_set("list").alias("known"))
+    known = valid.groupBy("key").agg(F.collect_set("list").alias("known"))
     counts = asked.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     known = stored(known.join(counts, "key"), "listed-keys")
     found = lookup(asked, known, "key", "n")
-    asked = found.select("id", "key", "at", F.explode("known").alias("list"), day.alias("day"))
-
-    # Within a day: the last change up to the fetch.
-    no_id = F.lit(None).cast(asked.schema["id"].dataType)
-    rows = changes.withColumns({"id": no_id, "is_capture": F.lit(False)}).unionByName(
-        asked.withColumns({"is_listed": F.lit(None).cast("boolean"), "is_capture": F.lit(True)})
+    asked = found.select("id", "key", "at", F.explode("known").alias("list"))
+
+    interval = F.struct(F.col("valid_from").alias("since"), F.col("valid_to").alias("until"))
+    begun = valid.select(
+        F.lit(None).cast(asked.schema["id"].dataType).alias("id"),
+        "key",
+        F.col("valid_from").alias("at"),
+        "list",
+        interval.alias("interval"),
+        F.lit(False).alias("is_capture"),
     )
+    empty = F.lit(None).cast("struct<since:timestamp,until:timestamp>")
+    rows = begun.unionByName(asked.withColumns({"interval": empty, "is_capture": F.lit(True)}))
+    dealt = rows.repartitionByRange("key", "list", "at", "is_capture", F.xxhash64("id"))
+    # Written, so that all uses below see the same ranges.
+    dealt = stored(dealt.select("*", F.spark_partition_id().alias("range")), "list-ranges")
+
+    # Within a range: the last interval that began by the fetch.
     so_far = (
-        Window.partitionBy("list", "key", "day")
+        Window.partitionBy("range", "key", "list")
         .orderBy("at", "is_capture")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    state = F.last("is_listed", ignorenulls=True).over(so_far)
-    within = rows.withColumn("state", state).where("is_capture")
-
-    # Before a day: the last change of the latest earlier day with changes.
-    ends = changes.groupBy("list", "key", "day").agg(F.max_by("is_listed", "at").alias("end"))
-    days = ends.unionByName(
-        asked.select("list", "key", "day").distinct().withColumn("end", F.lit(None).cast("boolean"))
-    ).groupBy("list", "key", "day").agg(F.max("end").alias("end"))
-    before = Window.partitionBy("list", "key").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    carried = days.withColumn("carried", F.last("end", ignorenulls=True).over(before)).drop("end")
-
-    state = F.coalesce("state", "carried", F.lit(False))
-    return (
-        within.join(carried, ["list", "key", "day"])
-        .where(state)
-        .select(F.col("id").alias(id_col), "list")
-        .distinct()
-    )
+    last = F.last("interval", ignorenulls=True).over(so_far)
+    within = dealt.withColumn("last", last).where("is_capture")
+
+    # Before a range: the last interval of the latest earlier range with any.
+    ends = dealt.groupBy("key", "list", "range").agg(F.max("interval").alias("end"))
+    before = Window.partitionBy("key", "list").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("key", "list", "range", F.last("end", ignorenulls=True).over(before).alias("carried"))
+
+    found = within.join(carried, ["key", "list", "range"])
+    until = F.coalesce("last", "carried")
+    holds = until.isNotNull() & (until["until"].isNull() | (until["until"] > F.col("at")))
+    return found.where(holds).select("id", "list").distinct()
 
 
 def filter_captures(
@@ -129,12 +133,14 @@ def filter_captures(
 ) -> DataFrame:
     """Every capture with ``lists`` (those it was on when fetched, sorted) and ``is_blocked``.
 
-    Captures with a null id are evaluated together, as if they were one.
+    Captures that share an id, or have none, are evaluated together, as if they were one.
     """
     found = listed(captures, entries, id_col, url_col, time_col)
-    lists = F.sort_array(F.collect_set("list")).alias("lists")
-    per_id = found.groupBy(F.col(id_col).alias("__id")).agg(lists)
-    joined = captures.join(per_id, F.col(id_col).eqNullSafe(F.col("__id")), "left").drop("__id")
-    none = F.array().cast("array<string>")
-    whole = joined.withColumn("lists", F.coalesce("lists", none))
-    return whole.withColumn("is_blocked", F.size("lists") > 0)
+    per_id = found.groupBy(F.struct("id").alias("key")).agg(F.sort_array(F.collect_set("list")).alias("found"))
+    kept = [c for c in captures.columns if c not in ("lists", "is_blocked")]
+    own = captures.select(
+        F.struct(F.col(id_col).alias("id")).alias("key"), F.struct(*[F.col(f"`{c}`") for c in kept]).alias("own")
+    )
+    lists = F.coalesce("found", F.array().cast("array<string>"))
+    whole = own.join(per_id, "key", "left").withColumn("lists", lists)
+    return whole.select("own.*", "lists", (F.size("lists") > 0).alias("is_blocked"))

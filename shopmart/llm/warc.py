@@ -8,11 +8,14 @@ read. With ``compression=gzip`` each record is a member of its own.
 Reading: ``spark.read.format("warc").load(folder)``. Files are dealt to partitions
 by size. A record's header is parsed first; equality and IN on ``record_type`` and equality and
 prefix on ``target_uri`` are pushed down, and bodies of records that they or
-``payload=false`` rule out are skipped over without being decoded or checked;
+``payload=false`` rule out are skipped over without being decoded or checked:
+in a plain archive, and in a gzipped one whose members tell their length in the ``sl`` field of their header, as the writer's
+do, by a seek; in other gzipped archives they must be inflated to find their end.
 ``payload=digest`` computes digest and length of a payload without returning it.
 
 Nulls: a null payload is written as an empty one, a null address as none. Empty
-folders read as no records. Damaged headers raise with file and offset.
+folders read as no records. Repeated records are all kept. Damaged headers, records that are cut off and payloads that
+differ from the digest in their header (unless ``verify=false``) raise with file and offset.
 """
 
 from __future__ import annotations
@@ -21,8 +24,10 @@ import base64
 import gzip
 import hashlib
 import io
+import struct
 import urllib.parse
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -63,8 +68,13 @@ HTML = "text/html; charset=utf-8"
 DATE = "1970-01-01T00:00:00Z"
 LENGTH_FIELD = "X-Payload-Length"  # an extension field, so that revisits tell the length too
 
-FILE_BYTES = 1 << 28
-PARTITION_BYTES = 1 << 26
+# A file is one partition's work.
+FILE_BYTES = PARTITION_BYTES = 1 << 26
+# A gzip member's fixed header with an extra field, and the name of the field of lengths.
+_MEMBER = b"\x1f\x8b\x08\x04\0\0\0\0\0\xff"
+_LENGTHS = b"sl"
+_CHUNK = 1 << 16
+_AHEAD = 1 << 12  # what is inflated of a member at a time while its header is parsed
 
 
 def base32_digest(data: bytes) -> str:
@@ -99,6 +109,52 @@ def record_bytes(
     return f"{VERSION}\r\n{head}\r\n".encode() + body + b"\r\n\r\n"
 
 
+def member_bytes(data: bytes) -> bytes:
+    """A gzip member, whose header tells how long it is."""
+    packer = zlib.compressobj(1, zlib.DEFLATED, -15)
+    body = packer.compress(data) + packer.flush()
+    length = len(_MEMBER) + 14 + len(body) + 8
+    if max(length, len(data)) >> 32:
+        return gzip.compress(data, 1, mtime=0)
+    extra = _LENGTHS + struct.pack("<HII", 8, length, len(data))
+    end = struct.pack("<II", zlib.crc32(data), len(data))
+    return _MEMBER + struct.pack("<H", len(extra)) + extra + body + end
+
+
+def member_length(head: bytes) -> int | None:
+    """The length of the member that begins with ``head``, if its header tells it."""
+    if len(head) < 12 or head[:4] != _MEMBER[:4]:
+        return None
+    at, stop = 12, 12 + struct.unpack_from("<H", head, 10)[0]
+    while at + 4 <= min(stop, len(head)):
+        size = struct.unpack_from("<H", head, at + 2)[0]
+        if head[at : at + 2] == _LENGTHS and size == 8 and at + 12 <= len(head):
+            return struct.unpack_from("<I", head, at + 4)[0]
+        at += 4 + size
+    return None
+
+
+class _Inflated(io.RawIOBase):
+    """The text of one gzip member, inflated no further than it is read."""
+
+    def __init__(self, raw, where: str) -> None:
+        self.raw, self.where, self.inflate, self.rest = raw, where, zlib.decompressobj(31), b""
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        while not self.inflate.eof:
+            data = self.inflate.unconsumed_tail or self.raw.read(_CHUNK)
+            if not data:
+                raise ValueError(f"record cut off at {self.where}")
+            out = self.inflate.decompress(data, len(buffer))
+            if out:
+                buffer[: len(out)] = out
+                return len(out)
+        return 0
+
+
 class _Files(WriterCommitMessage):
     def __init__(self, names: list[str]) -> None:
         self.names = names
@@ -118,7 +174,7 @@ class WarcWriter(DataSourceArrowWriter):
                 strict=True,
             ):
                 data = record_bytes(record_id, kind, uri, refers_to, (html or "").encode())
-                data = gzip.compress(data, 1, mtime=0) if self.gzipped else data
+                data = member_bytes(data) if self.gzipped else data
                 if stream is None or size > FILE_BYTES:
                     if stream:
                         stream.close()
@@ -169,7 +225,9 @@ def _header(stream, where: str) -> dict[str, str] | None:
         raise ValueError(f"no WARC record at {where}")
     fields: dict[str, str] = {}
     name = ""
-    while (line := stream.readline()) not in (b"\r\n", b"\n", b""):
+    while (line := stream.readline()) not in (b"\r\n", b"\n"):
+        if not line:
+            raise ValueError(f"record cut off in its header at {where}")
         text = line.decode("utf-8", "replace").rstrip("\r\n")
         if text[:1] in (" ", "\t") and name:  # goes on from the line before
             fields[name] += " " + text.strip()
@@ -180,6 +238,13 @@ def _header(stream, where: str) -> dict[str, str] | None:
     return fields
 
 
+def _size(fields: dict[str, str], where: str) -> int:
+    size = fields.get("content-length", "0")
+    if not size.isdecimal():
+        raise ValueError(f"content length {size!r} at {where}")
+    return int(size)
+
+
 def _skip(stream, n: int) -> None:
     if stream.seekable():
         stream.seek(n, 1)
@@ -201,6 +266,7 @@ class WarcReader(DataSourceReader):
         self.payload = options.get("payload", "true").lower()
         if self.payload not in ("true", "digest", "false"):
             raise ValueError(f"payload must be true, digest or false, not {self.payload}")
+        self.verify = options.get("verify", "true").lower() != "false"
         self.most = int(options.get("partitionBytes", PARTITION_BYTES))
         self.kinds: set[str] | None = None
         self.uri: str | None = None
@@ -243,32 +309,70 @@ class WarcReader(DataSourceReader):
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         files, _ = open_folder(self.folder)
         for path in partition.paths if partition else []:  # an empty folder has no partition
-            with files.open_input_file(path) as raw:
-                # A gzipped archive is read as the text of its members.
-                stream = gzip.open(raw) if path.endswith(".gz") else io.BufferedReader(raw, 1 << 20)
-                while True:
-                    offset = stream.tell()
-                    fields = _header(stream, f"{path}:{offset}")
-                    if fields is None:
-                        break
-                    yield from self._record(stream, fields, path, offset)
-
-    def _record(self, stream, fields: dict[str, str], path: str, offset: int) -> Iterator[tuple]:
-        size = int(fields.get("content-length", 0))
-        if not self._wanted(fields):
-            _skip(stream, size)
-            return
+            with files.open_input_file(path) as source:
+                raw = io.BufferedReader(source, _CHUNK)
+                if path.endswith(".gz"):
+                    yield from self._members(raw, path, source.size())
+                else:
+                    yield from self._records(raw, path)
+
+    def _members(self, raw, path: str, size: int) -> Iterator[tuple]:
+        """Records of an archive with one member each, as long as members tell their length."""
+        at = 0
+        while at < size:
+            raw.seek(at)
+            length = member_length(raw.read(64))
+            raw.seek(at)
+            if length is None:
+                # Read as the text of all members from here on.
+                yield from self._records(gzip.open(raw), path)
+                return
+            if at + length > size:
+                raise ValueError(f"record cut off at {path}:{at}")
+            where = f"{path}:{at}"
+            stream = io.BufferedReader(_Inflated(raw, where), _AHEAD)
+            fields = _header(stream, where)
+            if fields is not None and self._wanted(fields):
+                yield self._record(stream, fields, path, at)
+            at += length
+
+    def _records(self, stream, path: str) -> Iterator[tuple]:
+        while True:
+            offset = stream.tell()
+            where = f"{path}:{offset}"
+            try:
+                fields = _header(stream, where)
+                if fields is None:
+                    return
+                if self._wanted(fields):
+                    yield self._record(stream, fields, path, offset)
+                else:
+                    _skip(stream, _size(fields, where))
+                if stream.readline(3) not in (b"\r\n", b"\n"):  # what follows every record
+                    raise ValueError(f"record cut off at {where}")
+            except EOFError as cut:
+                raise ValueError(f"record cut off at {where}") from cut
+
+    def _record(self, stream, fields: dict[str, str], path: str, offset: int) -> tuple:
+        where = f"{path}:{offset}"
+        size = _size(fields, where)
         kind = fields.get("warc-type")
         digest = fields.get("warc-payload-digest", "").removeprefix("sha1:") or None
         length = fields.get(LENGTH_FIELD.lower())
         payload = None
         if self.payload != "false" and kind != "revisit":
-            payload = _payload(stream.read(size), fields.get("content-type", ""))
-            digest, length = base32_digest(payload), len(payload)
+            body = stream.read(size)
+            if len(body) < size:
+                raise ValueError(f"record cut off at {where}")
+            payload = _payload(body, fields.get("content-type", ""))
+            stated, length = digest, len(payload)
+            digest = base32_digest(payload)
+            if self.verify and fields.get("warc-payload-digest", "").startswith("sha1:") and stated != digest:
+                raise ValueError(f"payload differs from its digest at {where}")
             payload = payload if self.payload == "true" else None
         else:
             _skip(stream, size)
-        yield (
+        return (
             fields.get("warc-record-id", "").strip("<>"),
             kind,
             fields.get("warc-target-uri"),
@@ -283,8 +387,9 @@ class WarcReader(DataSourceReader):
 
 
 class WarcSource(DataSource):
-    """Options: path; payload (true, digest, false) and partitionBytes when reading,
-    compression (none, gzip) when writing."""
+    """Options: path; payload (true, digest, false), verify (true, false) and partitionBytes when
+    reading, compression (none, gzip) when writing. ``offset`` is that of the record or its member in
+    the file, in a gzipped archive without lengths that in the inflated text."""
 
     @classmethod
     def name(cls) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 from datetime import datetime, timedelta
 
 import duckdb
@@ -121,6 +122,73 @@ def test_a_foreign_archive_is_read(llm):
     assert bytes(rows[1].payload) == b"hello" and rows[1].headers["x-long"] == "a b"
 
 
+@pytest.mark.parametrize("compression", ["none", "gzip"])
+@pytest.mark.parametrize("where", ["body", "header", "end"])
+def test_cut_off_archives_raise(llm, odd_pages, compression, where):
+    """A record cut in its body or header, whether or not its body is wanted."""
+    pages = llm.createDataFrame([(1, "http://x/", "x" * 5000 + "y" * 5000)], "page_id long, url string, html string")
+    folder = archived(llm, pages, compression)
+    files, base = open_folder(folder)
+    (info,) = files.get_file_info(pafs.FileSelector(base))
+    with files.open_input_stream(info.path, compression=None) as stream:
+        data = stream.read()
+    keep = {"body": len(data) - 40, "header": 60, "end": len(data) - 4 - 9 * (compression == "gzip")}[where]
+    with files.open_output_stream(info.path, compression=None) as out:
+        out.write(data[:keep])
+    archive = llm.read.format("warc").load(folder)
+    for asked in (archive, archive.where("record_type = 'revisit'")):
+        with pytest.raises(Exception, match="cut off"):
+            asked.count()
+
+
+def test_cut_off_members_without_lengths_raise(llm, odd_pages):
+    folder = archived(llm, odd_pages.where("page_id = 5"), "none")
+    files, base = open_folder(folder)
+    (info,) = files.get_file_info(pafs.FileSelector(base))
+    with files.open_input_stream(info.path) as stream:
+        data = gzip.compress(stream.read())
+    with files.open_output_stream(f"{info.path}.gz", compression=None) as out:
+        out.write(data[:-60])
+    files.delete_file(info.path)
+    with pytest.raises(Exception, match="cut off"):
+        llm.read.format("warc").load(folder).count()
+
+
+def test_a_payload_that_differs_from_its_digest_raises(llm, odd_pages):
+    folder = archived(llm, odd_pages, "none")
+    files, base = open_folder(folder)
+    for info in files.get_file_info(pafs.FileSelector(base)):
+        with files.open_input_stream(info.path) as stream:
+            data = stream.read()
+        with files.open_output_stream(info.path) as out:
+            out.write(data.replace(b"<p>same</p>", b"<p>SAME</p>"))
+    read = llm.read.format("warc")
+    with pytest.raises(Exception, match="differs from its digest"):
+        read.load(folder).count()
+    assert read.option("verify", "false").load(folder).count() == odd_pages.count()
+
+
+def test_unwanted_members_are_not_inflated():
+    """The reader goes from member to member by their lengths."""
+    bodies = [warc.record_bytes(f"urn:page:{k}", kind, "http://x/", "urn:page:0", b"<p>" * 20_000)
+              for k, kind in enumerate(["response", "revisit", "response"])]
+    data = b"".join(map(warc.member_bytes, bodies))
+    assert gzip.decompress(data) == b"".join(bodies)
+    at = 0
+    for body in bodies:
+        length = warc.member_length(data[at : at + 64])
+        assert gzip.decompress(data[at : at + length]) == body
+        at += length
+    assert at == len(data) and warc.member_length(gzip.compress(b"x")) is None
+    damaged = bytearray(data)
+    first = warc.member_length(data[:64])
+    damaged[first // 2 : first - 20] = b"\0" * (first - 20 - first // 2)  # the body of the first member
+    reader = warc.WarcReader({"path": "file:///nowhere"})
+    reader.kinds = {"revisit"}
+    rows = list(reader._members(io.BufferedReader(io.BytesIO(bytes(damaged))), "a.warc.gz", len(damaged)))
+    assert [r[0] for r in rows] == ["urn:page:1"] and rows[0][-1] == first
+
+
 def brute_neighbours(rows: list, k: int = 10) -> dict:
     good = [(i, np.array(v, float)) for i, v in rows if v and None not in v]
     good = [(i, v) for i, v in good if np.isfinite(v).all() and v.any()]
@@ -163,8 +231,10 @@ def test_neighbours_of_odd_vectors(llm):
     assert neighbours.search(vectors.limit(0), lambda i: i % 100 == 0).count() == 0
 
 
-def test_neighbours_in_a_hot_leaf(llm):
-    """A third of all vectors are equal, and leaves are cut into blocks."""
+@pytest.mark.parametrize("queries_a_block", [1024, 1])
+def test_neighbours_in_a_hot_leaf(llm, monkeypatch, queries_a_block):
+    """A third of all vectors are equal; leaves are cut into blocks, and so are their queries."""
+    monkeypatch.setattr(neighbours, "BLOCK_QUERIES", queries_a_block)
     rng = np.random.default_rng(5)
     rows = [(i, [1.0, 2.0, 3.0] if i % 3 == 0 else rng.normal(size=3).tolist()) for i in range(600)]
     vectors = llm.createDataFrame(rows, "vec_id long, embedding array<double>")
@@ -241,5 +311,12 @@ def test_intervals_and_empty_lists(llm):
     found = url_lists.intervals(entries).orderBy("valid_from").collect()
     assert [(r.valid_from.day, r.valid_to and r.valid_to.day) for r in found] == [(1, 2), (4, None)]
     captures = llm.createDataFrame([(1, "http://x.y/", days[0])], "page_id long, url string, fetched_at timestamp")
+    listed = entries.withColumn("key", F.lit("domain:x.y"))
+    names = ("lists", "is_blocked", "key", "list", "at", "id", "interval", "range", "found", "own", "valid_to")
+    clash = captures.withColumns({c: F.lit("own") for c in names})
+    (row,) = url_lists.filter_captures(clash, listed).collect()
+    assert row.lists == ["l"] and row.is_blocked and row.key == row.id == row["range"] == "own"
+    repeated = captures.union(captures).unionByName(captures.withColumn("page_id", F.lit(None).cast("long")))
+    assert [r.lists for r in url_lists.filter_captures(repeated, listed).collect()] == [["l"]] * 3
     assert [r.is_blocked for r in url_lists.filter_captures(captures, entries.limit(0)).collect()] == [False]
     assert url_lists.filter_captures(captures.limit(0), entries).count() == 0
