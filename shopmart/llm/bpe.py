@@ -28,8 +28,11 @@ from pyspark.sql import types as T
 
 from shopmart.llm.tokens import shown_bytes, text_slices
 
-# Pre-token memory per Python worker, about 250 MB. Beyond, it starts anew.
-MAX_KNOWN = 1_000_000
+# Bytes of the pre-tokens kept per Python worker. Beyond, the memory starts anew.
+MAX_BYTES = 200_000_000
+# Longer pre-tokens are encoded each time.
+LONGEST = 200
+ENTRY_BYTES = 230  # of a pre-token kept, beside its characters and ids
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -107,23 +110,36 @@ class BpeCodec:
             bytes([back[c] for c in self._model.id_to_piece(k)]) for k in range(size)
         ]
         self._known: dict[str, tuple[int, ...]] = {}
+        self._held = 0
 
-    def _learn(self, pre_tokens: list[str]) -> None:
+    def _learn(self, pre_tokens: list[str]) -> dict[str, tuple[int, ...]]:
+        """Ids of the pre-tokens that are too long to be kept; all others are kept."""
         raw = [x.encode() for x in pre_tokens]
         shown = [x.decode("latin-1").translate(self._shown) for x in raw]
         found = self._model.encode(shown, out_type=int, num_threads=1)
+        long = {}
         for text, data, ids in zip(pre_tokens, raw, found, strict=True):
             rank = self._ranks.get(data)  # a token as a whole needs no merges
-            self._known[text] = tuple(ids) if rank is None else (rank,)
+            own = tuple(ids) if rank is None else (rank,)
+            if len(text) > LONGEST:
+                long[text] = own
+            else:
+                self._known[text] = own
+                self._held += ENTRY_BYTES + len(text) + 8 * len(own)
+        return long
 
     def encode(self, text: str) -> list[int]:
         pre_tokens = self._pattern.findall(text)
         missing = set(pre_tokens).difference(self._known)
+        long = {}
         if missing:
-            if len(missing) + len(self._known) > MAX_KNOWN:
+            if self._held > MAX_BYTES:
                 self._known.clear()
+                self._held = 0
                 missing = set(pre_tokens)
-            self._learn(list(missing))
+            long = self._learn(list(missing))
+        if long:
+            return [i for x in pre_tokens for i in (long.get(x) or self._known[x])]
         return list(chain.from_iterable(map(self._known.__getitem__, pre_tokens)))
 
     def decode(self, ids: list[int]) -> bytes:
