@@ -6,9 +6,7 @@ import contextlib
 import ctypes
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Callable, Iterator, Sequence
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,17 +14,22 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopmart.session import ship_package
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, without a trailing slash.
 
-    It is read from ``spark.checkpoint.dir``. Only where that is unset, as in
-    local tests, a temporary folder is made and set.
+    It is read from ``spark.checkpoint.dir``. Where that is unset, a temporary folder is made and
+    set if driver and executors are one process, as in tests; on a cluster this raises.
     """
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="shared-")
         spark.conf.set(CHECKPOINT_DIR, folder)
     return folder.rstrip("/")
@@ -129,17 +132,7 @@ def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per Spark application.
 
-    Python workers can then import it wherever the driver was started. Batches of rows for
-    them are limited to ``BATCH_BYTES``.
+    For the rest of the session, batches of rows for Python workers are limited to ``BATCH_BYTES``.
     """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    context = spark.sparkContext
-    if getattr(context, "_shipped_package", False):
-        return
-    package = Path(__file__).resolve().parent.parent
-    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
-    with zipfile.ZipFile(archive, "w") as out:
-        for source in sorted(package.rglob("*.py")):
-            out.write(source, source.relative_to(package.parent))
-    context.addPyFile(str(archive))
-    context._shipped_package = True
+    ship_package(spark)

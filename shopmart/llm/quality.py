@@ -19,8 +19,8 @@ texts too well, so half of the trusted documents, by a hash of the id, train it
 half set the quantiles. Languages without such documents use the quantile over all of them.
 Perplexities of short texts vary by chance: ``PRIOR`` characters of average text are added to each.
 
-Nulls: a null or empty text has no perplexity and is kept, like a document without an
-id; a null language is a language. Of labels that repeat an id, the worst counts. Without
+Ids may be of any type and are matched to labels as text. Nulls: a null or empty text has no perplexity and is kept, like a document without an
+id; a null language is a language. Of labels that repeat an id, the worst counts; of rows that repeat one each is judged by its own text. Without
 trusted documents all are kept.
 """
 
@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopmart.llm.common import new_folder, open_folder, stored, tidy
+from shopmart.llm.common import bitmap, bitmap_place, in_bitmap, new_folder, open_folder, stored, tidy
 from shopmart.llm.tokens import text_slices
 
 ORDER = 4  # characters of 16 bits: an n-gram is a 64-bit number
@@ -44,7 +44,6 @@ CHUNK_CHARS = 500_000
 QUANTILE = 0.99
 MARGIN = 1.08
 PRIOR = 400
-FILTER_BITS = 1 << 23
 
 
 def _characters(text: str) -> np.ndarray:
@@ -102,7 +101,7 @@ def _chunks(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def trains(key: Column) -> Column:
     """Whether a trusted document trains the model; else it sets quantiles."""
-    return F.pmod(F.xxhash64(key.cast("long"), F.lit("fold")), F.lit(2)) == 0
+    return F.pmod(F.xxhash64(key.cast("string"), F.lit("fold")), F.lit(2)) == 0
 
 
 def trusted_documents(
@@ -113,32 +112,21 @@ def trusted_documents(
     Before the join, documents that surely have no such label are left out by a bitmap of
     hashed ids, of 1 MB whatever the size of the tables.
     """
-    good = labels.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.min("quality").alias("q"))
+    good = labels.groupBy(F.col("doc_id").cast("string").alias("id")).agg(F.min("quality").alias("q"))
     good = good.where("q = 1 and id is not null").where(trains(F.col("id")))
     good = stored(good.select("id"), "trusted-ids")
-
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(FILTER_BITS, bool)
-        for batch in batches:
-            held[batch.column(0).to_numpy()] = True
-        yield pa.RecordBatch.from_pydict({"bits": [np.packbits(held).tobytes()]})
-
-    place = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)).cast("int")
-    known = np.zeros(FILTER_BITS // 8, np.uint8)
-    parts = good.select(place.alias("p")).coalesce(32).mapInArrow(tidy(bits), "bits binary")
-    for row in parts.toLocalIterator():
-        known |= np.frombuffer(row.bits, np.uint8)
+    known = bitmap(good, "id")
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = batch.column("p").to_numpy()
-            yield batch.filter(pa.array(known[p >> 3] >> (7 - (p & 7)) & 1 == 1)).select(["id", "text"])
+            some = in_bitmap(known, batch.column("place").to_numpy())
+            yield batch.filter(pa.array(some)).select(["id", "text"])
 
     source = docs.select(
-        F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")
+        F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text")
     ).where("id is not null")
-    placed = source.select("id", place.alias("p"), "text")
-    some = placed.mapInArrow(tidy(likely), "id long, text string")
+    placed = source.select("id", bitmap_place("id").alias("place"), "text")
+    some = placed.mapInArrow(tidy(likely), "id string, text string")
     return some.join(good, "id").select("text")
 
 
@@ -361,14 +349,35 @@ def classify(
     lang_col: str = "lang",
 ) -> DataFrame:
     """Id, language, ``perplexity``, ``threshold`` and ``is_kept`` of every document."""
+    judged = _judged(docs, labels, quantile, margin, id_col, text_col, lang_col, F.lit(None).cast("string"))
+    return judged.select(
+        F.col("id").alias(id_col), F.col("lang").alias(lang_col), "perplexity", "threshold", "is_kept"
+    )
+
+
+def _judged(
+    docs: DataFrame,
+    labels: DataFrame,
+    quantile: float,
+    margin: float,
+    id_col: str,
+    text_col: str,
+    lang_col: str,
+    digest: Column,
+) -> DataFrame:
+    """What ``classify`` returns, with a digest of each row's text, under names of its own."""
     model = train(trusted_documents(docs, labels, id_col, text_col))
     scored = docs.select(
-        F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
+        F.col(id_col).alias("id"),
+        F.col(lang_col).alias("lang"),
+        digest.alias("digest"),
+        F.col(text_col).alias("text"),
     )
-    scored = stored(score(scored, model, ["id", "lang"]), "scored")
-    good = labels.groupBy(F.col("doc_id").alias("id")).agg(F.min("quality").alias("q")).where("q = 1")
-    held_out = good.where(~trains(F.col("id"))).select("id")
-    trusted = stored(scored.where("n_scored > 0").join(held_out, "id", "left_semi"), "scored-trusted")
+    scored = stored(score(scored, model, ["id", "lang", "digest"]), "scored")
+    good = labels.groupBy(F.col("doc_id").cast("string").alias("key")).agg(F.min("quality").alias("q"))
+    held_out = good.where("q = 1").where(~trains(F.col("key"))).select("key")
+    keyed = scored.where("n_scored > 0").withColumn("key", F.col("id").cast("string"))
+    trusted = stored(keyed.join(held_out, "key", "left_semi"), "scored-trusted")
     total = trusted.agg(F.sum("log_probability").alias("s"), F.sum("n_scored").alias("n")).first()
     mean = -total.s / total.n if total.n else 0.0
     at = F.percentile_approx(_surprise(mean), F.lit(quantile), F.lit(10_000))
@@ -381,16 +390,29 @@ def classify(
     )
     kept = F.coalesce(perplexity <= limit, F.lit(True)) | F.col("id").isNull()
     return joined.select(
-        F.col("id").alias(id_col),
-        F.col("lang").alias(lang_col),
+        "id",
+        "lang",
+        "digest",
         perplexity.alias("perplexity"),
         limit.alias("threshold"),
         kept.alias("is_kept"),
     )
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rejected documents."""
-    id_col = options.get("id_col", "doc_id")
-    rejected = classify(docs, labels, **options).where("not is_kept").select(id_col).distinct()
-    return docs.join(rejected, id_col, "left_anti")
+def keep_good(
+    docs: DataFrame,
+    labels: DataFrame,
+    quantile: float = QUANTILE,
+    margin: float = MARGIN,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+) -> DataFrame:
+    """``docs`` without the rejected rows: a row goes by its own id, language and text, so
+    others with the same id stay."""
+    digest = F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))
+    judged = _judged(docs, labels, quantile, margin, id_col, text_col, lang_col, digest)
+    rejected = judged.where("not is_kept").select(F.struct("id", "lang", "digest").alias("key")).distinct()
+    key = F.struct(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), digest.alias("digest"))
+    rows = docs.select(key.alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"))
+    return rows.join(rejected, "key", "left_anti").select("own.*")

@@ -24,7 +24,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopmart.llm.common import lookup, stored, tidy
@@ -75,6 +75,11 @@ def fingerprint_all(texts: list[str | None]) -> np.ndarray:
     return out
 
 
+def text_digest(text_col: str) -> Column:
+    """Tells texts apart where rows share an id; a null is an empty text."""
+    return F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The id and ``fp`` (the fingerprint's 64 bits as a signed number) of every row."""
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -221,16 +226,10 @@ def links(fps: DataFrame) -> DataFrame:
     return grouped.mapInArrow(tidy(compare), "u long, v long")
 
 
-def near_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """Every row's id, ``fp`` and ``component_id``: the smallest id that can be reached over links.
-
-    Null ids take part, and are a component's id only where it has no other.
-    """
-    found = stored(fingerprints(docs, id_col, text_col), "simhash")
+def _classes(found: DataFrame, key: Column) -> DataFrame:
+    """Each distinct fingerprint ``fp`` with its rows ``n`` and ``first``, the smallest ``key`` of its component."""
     distinct = stored(
-        found.groupBy("fp").agg(F.min(id_col).alias("first"), F.count(F.lit(1)).alias("n")),
+        found.groupBy("fp").agg(F.min(key).alias("first"), F.count(F.lit(1)).alias("n")),
         "simhash-distinct",
     )
     roots = components(links(distinct))
@@ -238,18 +237,38 @@ def near_components(
         "fp", "first", "n", F.coalesce("root", "fp").alias("root")
     )
     rooted = stored(rooted, "simhash-roots")
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = stored(rooted.join(least, "root").select("fp", "n", "component_id"), "simhash-classes")
+    least = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    return stored(rooted.drop("first").join(least, "root").select("fp", "n", "first"), "simhash-classes")
+
+
+def near_components(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Every row's id, ``fp`` and ``component_id``: the smallest id that can be reached over links.
+
+    Null ids take part, and are a component's id only where it has no other.
+    """
+    found = stored(fingerprints(docs, id_col, text_col), "simhash")
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"))
+    classes = _classes(found, key)
+    classes = classes.select("fp", "n", F.col("first.id").alias("component_id"))
     return lookup(found, classes, "fp", "n").select(id_col, "fp", "component_id")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: that with the smallest id.
+    """``docs`` with one row of each component: that with the smallest id, of several texts with this id that
+    with the smallest digest, and of rows that repeat both any one.
 
-    Of rows that repeat an id, one stays. Rows without an id cannot be told apart
-    and all stay.
+    A null id is larger than all others. Only rows whose component keeps another row go, so the
+    result has as many rows as there are components.
     """
-    kept = near_components(docs, id_col, text_col).where(F.col(id_col) == F.col("component_id"))
-    kept = kept.select(id_col).distinct()
-    named = docs.join(kept, id_col, "left_semi").dropDuplicates([id_col])
-    return named.unionByName(docs.where(F.col(id_col).isNull()))
+    key = F.struct(
+        F.col(id_col).isNull().alias("none"),
+        F.col(id_col).alias("id"),
+        text_digest(text_col).alias("digest"),
+    ).alias("key")
+    keyed = docs.select(key, F.col(text_col).cast("string").alias("text"))
+    found = stored(fingerprints(keyed, "key"), "simhash-keys")
+    kept = _classes(found, F.col("key")).select(F.col("first").alias("key")).distinct()
+    rows = docs.select(key, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"))
+    return rows.join(kept, "key", "left_semi").dropDuplicates(["key"]).select("own.*")

@@ -33,7 +33,7 @@ def test_folders_are_shared_and_new(llm):
 
 def test_one_query_for_each_operator():
     numbers = [int(re.match(r"op(\d+)_", name)[1]) for name in queries.queries()]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("source", sorted(PACKAGE.glob("*.py")), ids=lambda p: p.name)

@@ -116,6 +116,18 @@ def test_simhash_of_odd_rows(odd_docs, no_docs):
     assert kept.where("doc_id is null").count() == 1
 
 
+def test_rows_are_told_apart_by_id_and_text(llm):
+    words = " ".join(f"w{k}" for k in range(200))
+    other = " ".join(f"v{k}" for k in range(200))
+    rows = [
+        (3, words, "copy"), (2, words, "kept"), (2, other, "kept, another text with the id"), (2, words, "kept twice"),
+        (5, other, "copy"), (None, words, "copy"), (None, "alone " * 50, "no id"), (7, "", "empty"), (8, None, "empty"),
+    ]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, key string")
+    found = sorted((r.doc_id is not None, r.doc_id or 0, r.text or "") for r in simhash.deduplicate(docs).collect())
+    assert found == [(False, 0, "alone " * 50), (True, 2, other), (True, 2, words), (True, 7, "")]
+
+
 @pytest.mark.parametrize("n", [300, 3000])
 def test_links_find_every_component(llm, n):
     """Clusters around centres, chains, and a group far larger than is compared at once."""
