@@ -21,8 +21,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-# Pieces kept per Python worker, about 100 MB. Beyond, the memory starts anew.
-MAX_PIECES = 400_000
+# Bytes of the pieces kept per Python worker. Beyond, the memory starts anew.
+MAX_BYTES = 100_000_000
+# Longer pieces are encoded each time.
+LONGEST = 200
+ENTRY_BYTES = 200  # of a piece kept, beside its characters and ids
 # Characters of the texts that are encoded at a time.
 MAX_CHARS = 2_000_000
 
@@ -30,8 +33,7 @@ MAX_CHARS = 2_000_000
 _SPACE = r"\t-\r \x1c-\x1f\x85\xa0\x{1680}\x{180e}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 # A cut that is neither before the first nor before the last of a run.
 _RUN = rf"[{_SPACE}][ \n](?:[{_SPACE}]|\z)|\A\n[{_SPACE}]"
-# Marks that the pattern parts from a word before them.
-_MARKS = ",.;:!?"
+_SPACES = frozenset(c for c in map(chr, range(0x3001)) if c.isspace() or c == "\u180e")
 
 
 def shown_bytes() -> dict[int, int]:
@@ -42,7 +44,7 @@ def shown_bytes() -> dict[int, int]:
     return {b: b for b in printable} | {b: 256 + k for k, b in enumerate(others)}
 
 
-_SHOWN = shown_bytes()
+_SHOWN_SPACE = chr(shown_bytes()[ord(" ")])
 
 
 class TextEncoder:
@@ -53,10 +55,14 @@ class TextEncoder:
         # Strings of special tokens in a text are ordinary text.
         self._tokenizer.encode_special_tokens = True
         self._known: dict[str, bytes] = {}
-        self._model = self._tokenizer.model
-        self._marks = {x: self.whole(x) for x in _MARKS}
-        self._line_end = self.whole("\n")
-        self._cuts = len(self._line_end) == len(self.whole(" ")) == 4
+        self._held = 0
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
+        space, line_end = (self.whole(x) for x in (" ", "\n"))
+        self._cuts = len(space) == len(line_end) == 4
+        self._line_end = int.from_bytes(line_end[:4], "little")
+        # Whether a token begins with a space.
+        self._spaced = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self._spaced[[k for t, k in vocabulary.items() if t.startswith(_SHOWN_SPACE)]] = True
         self.n_vocab = self._tokenizer.get_vocab_size(with_added_tokens=True)
 
     def whole(self, text: str) -> bytes:
@@ -64,26 +70,37 @@ class TextEncoder:
         (encoded,) = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return array("I", encoded.ids).tobytes()
 
-    def _letters(self, word: str, behind_space: bool) -> bytes:
-        """Ids of a run of letters, which the pattern leaves whole."""
-        text = (" " + word if behind_space else word).encode().decode("latin-1")
-        return array("I", [t.id for t in self._model.tokenize(text.translate(_SHOWN))]).tobytes()
+    def _each(self, text: str, pieces: list[str], begins_line: bool) -> list[bytes]:
+        """Ids of pieces that make up a text, each from a space or a line end on.
 
-    def _learn(self, piece: str) -> bytes:
-        """Ids of a piece: one that begins with a line end as it is, others behind a space.
-
-        Words, also before one mark, go straight to the library's model.
+        One call of the library for all: a piece begins where an id begins with a space or is a line end.
+        """
+        data = self.whole(text)
+        ids = np.frombuffer(data, "<u4")
+        begins = np.flatnonzero(ids == self._line_end if begins_line else self._spaced[ids])
+        if len(begins) != len(pieces) or begins[0]:
+            return [self.whole(x if begins_line else f" {x}") for x in pieces]
+        cuts = [*(4 * begins).tolist(), len(data)]
+        return [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def _learn(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Pieces with their ids: one that begins with a line end as it is, others behind a space.
+
+        Pieces that have white space at an end, which might belong with a neighbour's, go alone.
         """
-        begins_line = piece[:1] == "\n"
-        word = piece[1:] if begins_line else piece
-        mark = word[-1:] if word[-1:] in _MARKS else ""
-        letters = word[: len(word) - len(mark)]
-        if letters.isalpha():
-            found = self._letters(letters, not begins_line)
-            if mark:
-                found += self._marks[mark]
-            return self._line_end + found if begins_line else found
-        return self.whole(piece if begins_line else f" {piece}")
+        lines, words = [], []
+        for x in pieces:
+            word = x[1:] if x[:1] == "\n" else x
+            if not word or word[0] in _SPACES or word[-1] in _SPACES:
+                yield x, self.whole(x if x[:1] == "\n" else f" {x}")
+            elif word is x:
+                words.append(x)
+            else:
+                lines.append(x)
+        if words:
+            yield from zip(words, self._each(" " + " ".join(words), words, False), strict=True)
+        if lines:
+            yield from zip(lines, self._each("".join(lines), lines, True), strict=True)
 
     def _cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids and counts of texts, each begun by a line end, that may be cut."""
@@ -91,12 +108,16 @@ class TextEncoder:
         pieces = lists.flatten().dictionary_encode()
         codes = pieces.indices.to_numpy(zero_copy_only=False)
         distinct = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if len(distinct) + len(self._known) > MAX_PIECES:
+        if self._held > MAX_BYTES:
             self._known.clear()
+            self._held = 0
         found = list(map(self._known.get, distinct))
-        for k, x in enumerate(distinct):
-            if found[k] is None:
-                found[k] = self._known[x] = self._learn(x)
+        places = {x: k for k, (x, own) in enumerate(zip(distinct, found, strict=True)) if own is None}
+        for x, own in self._learn(list(places)):
+            found[places[x]] = own
+            if len(x) <= LONGEST:
+                self._known[x] = own
+                self._held += ENTRY_BYTES + len(x) + len(own)
         table = np.frombuffer(b"".join(found), "<u4")
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         begins = np.cumsum(sizes) - sizes
