@@ -68,20 +68,24 @@ def dictionary() -> frozenset[str]:
     return secret_scan.read_dictionary(public_tokenizers.path(RANKS_FILE))
 
 
-def secret_forest(docs: DataFrame) -> secret_scan.Forest:
-    """A forest trained on findings in ``docs``, which a rule labels, and reference findings."""
-    words = dictionary()
-    found = stored(secret_scan.findings(docs, words), "secret-candidates")
-    found = found.select("features", "label", "candidate", "start")
-    reference = docs.sparkSession.createDataFrame(secret_scan.reference_findings(words), found.schema)
-    return secret_scan.train(found, reference=reference)
+def secret_findings(docs: DataFrame) -> DataFrame:
+    """All candidates in ``docs``, stored."""
+    return stored(secret_scan.findings(docs, dictionary()), "secret-candidates")
+
+
+def secret_forest(found: DataFrame) -> secret_scan.Forest:
+    """A forest trained on findings, which a rule labels, and reference findings."""
+    rows = found.select("features", "label", "candidate", "start")
+    given = secret_scan.reference_findings(dictionary())
+    reference = found.sparkSession.createDataFrame(given, rows.schema)
+    return secret_scan.train(rows, reference=reference)
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
-    docs = documents(spark, sf_dir)
-    found = secret_scan.scan(docs, secret_forest(docs), dictionary())
-    return found.select(
+    found = secret_findings(documents(spark, sf_dir))
+    judged = secret_scan.judge(found, secret_forest(found))
+    return judged.select(
         "doc_id",
         "start",
         F.char_length("candidate").cast("long").alias("length"),

@@ -2,11 +2,13 @@
 
 Candidates are runs of at least ``MIN_LENGTH`` characters of keys and encodings which hold a
 digit or mix cases, and every value of at least ``MIN_ASSIGNED`` characters that is assigned to a
-credential's name: in quotes up to the quote in its line, else up to white space. The forest sees their length, how they change between kinds of
+credential's name: in quotes up to the quote in its line, else up to white space, a mark that closes a value, or the next
+credential's name to which something is assigned. A candidate has at most ``MAX_LENGTH`` characters; what is longer is
+cut into consecutive candidates, so nothing is left out and a text's cost is in proportion to its length. The forest sees their length, how they change between kinds of
 characters, how much of them a dictionary covers, the file's path and the words beside
 them. It is trained on labelled findings with ``spark.ml``; of those in documents at most
-``MAX_FINDINGS`` distinct ones are used, and all reference findings. Its trees, of bounded depth and number, are then sent to the tasks,
-which find, judge and mask secrets in one pass over whole texts: no join, no shuffle.
+``MAX_FINDINGS`` distinct ones are used, and all reference findings. Its trees, of bounded depth and number, are then sent to the
+tasks, which judge the findings that are already stored, or mask secrets in one more pass over whole texts: no join, no shuffle.
 
 Nulls: a null text or path is an empty one; a masked null text stays null. Repeated
 rows each give their findings. Empty tables give none. Without findings of both kinds there is
@@ -19,9 +21,12 @@ import base64
 import hashlib
 import math
 import re
+import string
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import ne
 
 import numpy as np
 import pyarrow as pa
@@ -34,16 +39,23 @@ from shopmart.llm.common import new_folder, stored, tidy
 
 MIN_LENGTH = 16
 MIN_ASSIGNED = 6
+MAX_LENGTH = 512
 MAX_FINDINGS = 20_000
 TREES, DEPTH, SEED = 20, 8, 11
 HASHED = 16  # columns for the words on each side
 
-_CANDIDATE = re.compile(rf"[A-Za-z0-9+/_\-]{{{MIN_LENGTH},}}={{0,2}}")
+# Only from the first character of a run on, so that short runs are passed over once.
+_CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{{{MIN_LENGTH},}}={{0,2}}")
 _MIXED = re.compile(r"[0-9]|[a-z][A-Z]")
 _BEFORE = re.compile(r"([^\W\d_]+)?\s*([:=]*)\s*([\"'`]?)$")
 _AFTER = re.compile(r"^[\"'`]?\W*([^\W\d_]+)?")
 _WORD = re.compile(r"[A-Za-z]{3,}")
-_SPACE = re.compile(r"\s")
+_LETTERS = re.compile(r"[a-z]{4,}")  # dictionary words have no other characters
+# What ends a value without quotes.
+_ENDS = re.compile(r"[\s;&,)}\]<>\"'`]")
+_SIGN = re.compile(r"[:=]")
+# A name and a sign, with all around them that the pattern of assignments may take in.
+_AHEAD, _BEHIND = 64, 28
 # The address that a text ends within.
 _ADDRESS = re.compile(r"(?:://|@)[^\s\"'<>]*$")
 # Share of dictionary words from which a string counts as words.
@@ -57,7 +69,7 @@ CREDENTIAL_WORDS = (
 _NAME = rf"(?:{'|'.join(CREDENTIAL_WORDS)})[\w\-]{{0,40}}[\"'`\]]{{0,2}}[ \t]{{0,8}}(?::=|=>|[:=])[ \t]{{0,8}}(?:(?:bearer|basic|token)[ \t]{{1,8}})?"
 _ASSIGNED = re.compile(rf"{_NAME}([\"'`]?)", re.I)
 _NAMED = re.compile(rf"{_NAME}[\"'`]?$", re.I)
-_TAIL = "\"'`,;.)]}>"  # what closes a value without quotes, or follows it
+_TAIL = "."  # what may follow a value without quotes
 PLACEHOLDER_WORDS = ("changeme", "demo", "dummy", "example", "fake", "placeholder", "sample", "test")
 
 SHAPE = [
@@ -74,8 +86,19 @@ class Candidate:
     features: list[float]
 
 
-def _kind(c: str) -> int:
-    return 0 if c.isdigit() else 1 if c.islower() else 2 if c.isupper() else 3
+_KINDS = {c: "a" for c in string.ascii_lowercase} | {c: "A" for c in string.ascii_uppercase}
+_KINDS = str.maketrans(_KINDS | {c: "0" for c in string.digits} | {chr(c): "." for c in range(128) if not chr(c).isalnum()})
+
+
+def _kinds(text: str) -> str:
+    """Each character's kind: 0 a digit, a or A a letter by its case, else a dot."""
+    found = text.translate(_KINDS)
+    if found.isascii():
+        return found
+    return "".join(
+        c if c.isascii() else "0" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else "."
+        for c in found
+    )
 
 
 def _slot(word: str) -> int:
@@ -90,12 +113,14 @@ def _hashed(word: str | None) -> list[float]:
 
 
 def _covered(text: str, dictionary: frozenset[str]) -> float:
-    """Share of the characters in dictionary words, the longest first from the left."""
-    low, at, covered = text.lower(), 0, 0
-    while at < len(low):
-        size = next((n for n in range(min(12, len(low) - at), 3, -1) if low[at : at + n] in dictionary), 0)
-        covered += size
-        at += size or 1
+    """Share of the characters in dictionary words of 4 to 12 letters, the longest first from the left."""
+    covered = 0
+    for letters in _LETTERS.findall(text.lower()):
+        at, last = 0, len(letters) - 3
+        while at < last:
+            size = next((n for n in range(min(12, len(letters) - at), 3, -1) if letters[at : at + n] in dictionary), 0)
+            covered += size
+            at += size or 1
     return covered / len(text)
 
 
@@ -105,17 +130,17 @@ def features(text: str, start: int, found: str, path: str, dictionary: frozenset
     word, sign, quote = _BEFORE.search(before).groups()
     behind = _AFTER.search(after).group(1)
     n, counts = len(found), Counter(found)
-    kinds = [_kind(c) for c in found]
+    kinds = _kinds(found)
     context = (before[-40:] + found + after[:20]).lower()
     low_path = path.lower()
     shape = [
         n,
         -sum(k / n * math.log2(k / n) for k in counts.values()),
-        kinds.count(0) / n,
-        kinds.count(2) / n,
-        kinds.count(1) / n,
-        sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / n,
-        float(all(c in "0123456789abcdefABCDEF" for c in found)),
+        kinds.count("0") / n,
+        kinds.count("A") / n,
+        kinds.count("a") / n,
+        sum(map(ne, kinds, kinds[1:])) / n,
+        float(not found.strip("0123456789abcdefABCDEF")),
         max(counts.values()) / n,
         _covered(found, dictionary),
         float(len(_WORD.findall(found))) / n,
@@ -133,26 +158,49 @@ def features(text: str, start: int, found: str, path: str, dictionary: frozenset
     return [float(x) for x in shape] + _hashed(word) + _hashed(behind)
 
 
+def _assignments(text: str) -> Iterator[re.Match]:
+    """Names of credentials with something assigned, sought around the signs of assignments alone."""
+    stop = 0
+    for sign in _SIGN.finditer(text):
+        if sign.start() < stop:
+            continue  # within the stretch searched last
+        start, stop = max(stop, sign.start() - _AHEAD), sign.start() + _BEHIND
+        while (more := _SIGN.search(text, sign.end(), stop + _AHEAD)) and more.start() >= stop - _BEHIND:
+            sign, stop = more, more.start() + _BEHIND
+        yield from _ASSIGNED.finditer(text, start, stop)
+
+
 def _assigned(text: str) -> Iterator[tuple[int, int]]:
     """From, to: values assigned to a credential's name."""
-    for match in _ASSIGNED.finditer(text):
-        start, quote = match.end(), match.group(1)
+    found = [(m.start(), m.end(), m.group(1)) for m in _assignments(text)]
+    names = [name for name, _, _ in found]
+    for _, start, quote in found:
         stop = -1
         if quote:
             line = text.find("\n", start)
             stop = text.find(quote, start, len(text) if line < 0 else line)
         if stop < 0:
-            space = _SPACE.search(text, start)
-            stop = space.start() if space else len(text)
+            # The next name that leaves a value worth a look ends this one.
+            later = bisect_left(names, start + MIN_ASSIGNED)
+            limit = names[later] if later < len(names) else len(text)
+            end = _ENDS.search(text, start, limit)
+            stop = end.start() if end else limit
             stop = start + len(text[start:stop].rstrip(_TAIL))
         if stop - start >= MIN_ASSIGNED:
             yield start, stop
 
 
+def _pieces(start: int, stop: int) -> Iterator[tuple[int, int]]:
+    """A span in parts of at most ``MAX_LENGTH``."""
+    for at in range(start, stop, MAX_LENGTH):
+        yield at, min(at + MAX_LENGTH, stop)
+
+
 def candidates(text: str, path: str, dictionary: frozenset[str]) -> Iterator[Candidate]:
     """In order of their starts, the longer first; a run may lie within an assigned value."""
     spans = {m.span() for m in _CANDIDATE.finditer(text) if _MIXED.search(m.group())}
-    for start, stop in sorted(spans.union(_assigned(text)), key=lambda s: (s[0], -s[1])):
+    spans = {p for span in spans.union(_assigned(text)) for p in _pieces(*span)}
+    for start, stop in sorted(spans, key=lambda s: (s[0], -s[1])):
         found = text[start:stop]
         yield Candidate(start, found, features(text, start, found, path, dictionary))
 
@@ -362,6 +410,23 @@ def _exported(spark: SparkSession, fitted) -> Forest:
     return Forest([trees[k] for k in sorted(trees)])
 
 
+def judge(found: DataFrame, forest: Forest) -> DataFrame:
+    """``findings`` with their ``score`` and whether they are secrets (a score of a half or more) in place of
+    features and label."""
+    schema = found.drop("features", "label").schema.add("score", "double").add("is_secret", "boolean")
+    kept = [c for c in found.columns if c not in ("features", "label")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = np.array([forest.score(v) for v in batch.column("features").to_pylist()], float)
+            own = batch.select(kept)
+            yield pa.RecordBatch.from_arrays(
+                [*own.columns, pa.array(scores), pa.array(scores >= 0.5)], schema.names
+            )
+
+    return found.mapInArrow(run, schema)
+
+
 def scan(
     docs: DataFrame,
     forest: Forest,
@@ -370,19 +435,8 @@ def scan(
     text_col: str = "text",
     path_col: str = "source",
 ) -> DataFrame:
-    """Every candidate with its ``score`` and whether it is a secret (a score of a half or more)."""
-    found = findings(docs, dictionary, id_col, text_col, path_col)
-    schema = found.drop("features", "label").schema.add("score", "double").add("is_secret", "boolean")
-
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = np.array([forest.score(v) for v in batch.column("features").to_pylist()], float)
-            kept = batch.select([id_col, "start", "candidate"])
-            yield pa.RecordBatch.from_arrays(
-                [*kept.columns, pa.array(scores), pa.array(scores >= 0.5)], schema.names
-            )
-
-    return found.mapInArrow(judge, schema)
+    """Every candidate of ``docs`` with its ``score`` and whether it is a secret."""
+    return judge(findings(docs, dictionary, id_col, text_col, path_col), forest)
 
 
 def mask(
@@ -393,17 +447,18 @@ def mask(
     path_col: str = "source",
     with_: str = "[secret]",
 ) -> DataFrame:
-    """``docs``, in whose texts every secret is replaced."""
+    """``docs``, in whose texts every secret is replaced; what a secret of the greatest length goes on with is part of it."""
     has_path = path_col in docs.columns
 
     def masked(text: str | None, path: str | None) -> str | None:
         if not text:
             return text
-        out, at = [], 0
+        out, at, is_cut = [], 0, False
         for c in candidates(text, path or "", dictionary):
-            if c.start >= at and forest.score(c.features) >= 0.5:
-                out += [text[at : c.start], with_]
-                at = c.start + len(c.text)
+            goes_on = is_cut and c.start == at
+            if c.start >= at and (goes_on or forest.score(c.features) >= 0.5):
+                out += [] if goes_on else [text[at : c.start], with_]
+                at, is_cut = c.start + len(c.text), len(c.text) == MAX_LENGTH
         return "".join([*out, text[at:]]) if out else text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shopmart.llm import queries, quality, secret_scan, simhash
@@ -99,6 +100,25 @@ def test_quality_of_odd_rows(llm, odd_docs, no_docs, tiny_docs):
     assert kept.columns == with_lang.columns and kept.count() == odd_docs.count()
 
 
+def test_rows_go_by_their_own_text(llm, tiny_docs):
+    """Of rows that share an id, one is rejected and the others stay; ids may be text."""
+    labels = llm.read.parquet(f"{TINY}/labels.parquet")
+    rejected = quality.classify(tiny_docs, labels).where("not is_kept").select("doc_id")
+    bad = tiny_docs.join(rejected, "doc_id", "left_semi").limit(3)
+    good = tiny_docs.join(rejected, "doc_id", "left_anti").where("n_chars > 500")
+    shared = bad.withColumn("doc_id", F.lit(good.first().doc_id))
+    mixed = tiny_docs.unionByName(shared).withColumns({"digest": F.lit(1), "own": F.lit(2), "key": F.lit("k")})
+    kept = quality.keep_good(mixed, labels)
+    assert kept.columns == mixed.columns
+    texts = sorted(r.text for r in kept.collect())
+    assert texts == sorted(r.text for r in quality.keep_good(tiny_docs, labels).collect())
+    named = "concat('doc-', doc_id) AS doc_id"
+    as_text = quality.keep_good(
+        tiny_docs.selectExpr(named, "text", "lang"), labels.selectExpr(named, "quality")
+    )
+    assert as_text.where("doc_id like 'doc-%'").count() == as_text.count() > 0
+
+
 def test_bitmap_leaves_the_join_whole(llm, tiny_docs):
     labels = llm.read.parquet(f"{TINY}/labels.parquet")
     found = quality.trusted_documents(tiny_docs, labels).collect()
@@ -110,7 +130,7 @@ def test_bitmap_leaves_the_join_whole(llm, tiny_docs):
 @pytest.fixture(scope="module")
 def forest(llm):
     docs = llm.read.parquet("/root/testdata/sf0.1/documents.parquet")
-    return queries.secret_forest(docs)
+    return queries.secret_forest(queries.secret_findings(docs))
 
 
 def test_secrets_are_told_from_other_strings(llm, forest):
@@ -161,7 +181,7 @@ def test_pipeline_stages(llm):
     texts = dict(docs.select("doc_id", "text").collect())
     labels = {r.doc_id: r.quality for r in corpus_pipeline.table(llm, SMALL, "labels").collect()}
     names = [name for name, _ in corpus_pipeline.STAGES]
-    assert names == ["quality classifier", "near-duplicates", "secrets", "packing"]
+    assert names == ["quality classifier", "SimHash near-dedup", "secret scans", "packing"]
 
     first = corpus_pipeline.good_quality(llm, docs, SMALL)
     assert first.columns == docs.columns
