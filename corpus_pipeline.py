@@ -1,4 +1,4 @@
-"""Corpus pipeline: quality classifier, near-duplicate removal, secret masking, packing.
+"""Corpus pipeline: quality classifier, SimHash near-duplicate removal, secret masking, packing.
 
 Each stage takes what the one before kept, written as Parquet and read again. The
 first three return the columns of ``documents``; the last returns packed pieces.
@@ -10,9 +10,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmart.llm import near_copies, packing, quality, secret_scan
+from shopmart.llm import packing, quality, secret_scan, simhash
 from shopmart.llm.common import documents, new_folder, ship
-from shopmart.llm.queries import IDS_FILE, dictionary, secret_forest, table
+from shopmart.llm.queries import IDS_FILE, dictionary, secret_findings, secret_forest, table
 
 # No SQL states a trained model, so the stages are tested against brute force.
 ORACLE_SQL = None
@@ -25,15 +25,15 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies (0.8 of five-word shingles), the document with the smallest id stays."""
+    """Of each component of fingerprints within two bits of each other, the document with the smallest id stays."""
     ship(spark)
-    return near_copies.deduplicate(docs)
+    return simhash.deduplicate(docs)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in texts are replaced; ``n_chars`` follows."""
     ship(spark)
-    masked = secret_scan.mask(docs, secret_forest(docs), dictionary())
+    masked = secret_scan.mask(docs, secret_forest(secret_findings(docs)), dictionary())
     return masked.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
@@ -45,8 +45,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", good_quality),
-    ("near-duplicates", near_dedup),
-    ("secrets", mask_secrets),
+    ("SimHash near-dedup", near_dedup),
+    ("secret scans", mask_secrets),
     ("packing", pack),
 ]
 
