@@ -169,8 +169,9 @@ def manifest(leaves: DataFrame) -> DataFrame:
     ``leaves`` has ``group``, ``id``, ``hash`` and any others but ``g``, ``total``, ``lo``, ``hi``, ``range``, ``own``, ``before`` and
     ``bucket``, which are kept.
     """
-    with_group = leaves.withColumn("g", F.struct(F.col("group")))
-    own = stored(ranked(with_group, ["id", "hash"], "manifest-leaves"), "manifest-ranks")
+    # Written first: dealing out by ranges reads its input twice, and texts should be read once.
+    hashed = stored(leaves.withColumn("g", F.struct(F.col("group"))), "manifest-hashes")
+    own = stored(ranked(hashed, ["id", "hash"], "manifest-leaves"), "manifest-ranks")
     levels, roots = build(own, "manifest-nodes")
 
     # The groups' roots are leaves of one more tree.
