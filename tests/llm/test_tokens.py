@@ -49,11 +49,31 @@ def test_encoder_equals_the_library(library):
 
 
 def test_encoder_forgets_when_full(library, monkeypatch):
-    monkeypatch.setattr("shopmart.llm.tokens.MAX_PIECES", 10)
+    monkeypatch.setattr("shopmart.llm.tokens.MAX_BYTES", 1000)
     encoder = text_encoder.__wrapped__(IDS)
     for text in ("one two three four five six", "seven eight nine ten eleven twelve thirteen", "one two"):
         ids, _ = encoder.encode(pa.array([text]))
         assert ids.tolist() == library(text)
+        assert encoder._held < 3000
+
+
+def test_long_pieces_are_not_kept(library):
+    encoder = text_encoder.__wrapped__(IDS)
+    long = "x1é" * 40_000
+    ids, _ = encoder.encode(pa.array([f"a {long} b"]))
+    assert ids.tolist() == library(f"a {long} b")
+    assert encoder._held < 2000 and max(map(len, encoder._known)) < 10
+
+
+def test_bpe_memory_is_bounded_by_bytes(monkeypatch):
+    codec = bpe.codec.__wrapped__(RANKS, public_tokenizers.PATTERN)
+    ranks = bpe.read_ranks(RANKS)
+    plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    monkeypatch.setattr(bpe, "MAX_BYTES", 2000)
+    for text in ("one two " * 5, "x" * 5000 + " three", "four five six seven eight nine ten", "one two", "é" * 400):
+        assert codec.encode(text) == plain.encode_ordinary(text)
+        assert codec._held < 6000
+    assert all(len(x) <= bpe.LONGEST for x in codec._known)
 
 
 def test_slices_cover_all_rows_once():
@@ -94,6 +114,38 @@ def test_packing_covers_every_id_without_padding(tiny_docs, library):
     check_pieces(rows, texts, library, 1024)
 
 
+@pytest.mark.parametrize("size", [1, 2, 64, 1024])
+def test_rests_stay_whole_in_their_class(size):
+    """Of many documents, few rests are cut, each sequence is cut for one document, and what a task holds is bounded."""
+    rng = random.Random(size)
+    bins = packing._Bins(size, 0, True)
+    lengths = [rng.choice([1, 2, rng.randrange(1, size + 1), rng.randrange(1, 4 * size + 1)]) for _ in range(4000)]
+    most = 0
+    for k, n in enumerate(lengths):
+        bins.add(packing._Piece(k, n, np.arange(n, dtype="<u4").tobytes(), 0, 0, n))
+        held = sum(len(p) for x in (*bins.open.values(), *bins.waiting) for p in x)
+        most = max(most, held)
+        assert len(bins.waiting) <= 1
+    assert most <= size * (2 * size**0.5 + 2)
+    closed = len(bins.full)
+    bins.finish()
+    rows: dict = {}
+    for key, start, length, crc, total, sequence, offset, data in bins.full:
+        assert total == lengths[key] and zlib.crc32(data) == crc
+        assert data == np.arange(start, start + length, dtype="<u4").tobytes()
+        rows.setdefault(sequence, []).append((key, start, length, offset))
+    assert sum(length for r in rows.values() for _, _, length, _ in r) == sum(lengths)
+    cut = {k: 0 for k in range(len(lengths))}
+    for key, start, length, *_ in bins.full[:closed]:
+        rest = lengths[key] % size
+        cut[key] += length < rest and start >= lengths[key] - rest
+    if size >= 64:
+        whole = sum(1 for k, n in cut.items() if not n)
+        assert whole > 0.7 * len(lengths)
+    sums = [sum(length for _, _, length, _ in r) for r in rows.values()]
+    assert sum(s != size for s in sums) <= size.bit_length() and all(s & (s - 1) == 0 for s in sums)
+
+
 def test_packing_of_odd_rows(odd_docs, no_docs, library):
     once = odd_docs.dropDuplicates()
     texts = dict(once.select("doc_id", "text").collect())
