@@ -48,20 +48,38 @@ def heavy_keys(rows: DataFrame, key: str) -> DataFrame:
     return heavy.select(key, F.ceil(F.col("n") * HEAVY_SHARE / total).cast("int").alias("salts"))
 
 
+SALT, _SALTS = "__salt", "__salts"
+
+
+def deal(many: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``many`` with a salt, and the heavy keys that ``meet`` needs.
+
+    Rows of a heavy key are dealt out over its salts by their place in ``many``, so equal rows are too; all others have
+    salt 0. ``many`` is a scan of files, whose rows have the same places when a task is repeated; joins may follow before
+    the rows meet the other side.
+    """
+    heavy = F.broadcast(heavy_keys(many, key).withColumnRenamed("salts", _SALTS))
+    place = F.xxhash64(F.monotonically_increasing_id())
+    chosen = F.pmod(place, F.coalesce(F.col(_SALTS), F.lit(1))).cast("int").alias(SALT)
+    return many.join(heavy, key, "left").select(*many.columns, chosen), heavy
+
+
+def meet(dealt: DataFrame, one: DataFrame, key: str, heavy: DataFrame, how: str = "inner") -> DataFrame:
+    """Join of dealt rows to ``one``, whose rows with a heavy key are repeated for each salt.
+
+    The rows keep their salt: another ``meet`` on the key finds them where they are and moves only its ``one``.
+    """
+    each = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1)).alias(SALT)
+    return dealt.join(one.join(heavy, key, "left").select(*one.columns, each), [key, SALT], how)
+
+
 def spread_join(many: DataFrame, one: DataFrame, key: str) -> DataFrame:
     """Inner join of ``many`` to ``one`` on a key that any number of rows of ``many`` may share.
 
-    Rows of a heavy key are dealt out over its salts by their place in ``many``, so equal rows are too, and the rows of
-    ``one`` with such a key are repeated for each salt: fewer than 2,000 more rows per repetition of a key in
-    ``one``. The heavy keys, fewer than 1,000 by arithmetic, are broadcast. All is one plan, in which
-    no task gets much more than a thousandth of the rows for one key; there is no switch by size. ``many`` is a scan of files,
-    whose rows have the same places when a task is repeated.
+    Rows of a heavy key are dealt out (``deal``), and the rows of ``one`` with such a key are repeated for each
+    salt (``meet``): fewer than 2,000 more rows per repetition of a key in ``one``. The heavy keys, fewer than 1,000
+    by arithmetic, are broadcast. All is one plan, in which
+    no task gets much more than a thousandth of the rows for one key; there is no switch by size.
     """
-    salts, salt = "__salts", "__salt"
-    heavy = F.broadcast(heavy_keys(many, key).withColumnRenamed("salts", salts))
-    place = F.xxhash64(F.monotonically_increasing_id())
-    chosen = F.pmod(place, F.coalesce(F.col(salts), F.lit(1))).cast("int").alias(salt)
-    left = many.join(heavy, key, "left").select(*many.columns, chosen)
-    each = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(salts), F.lit(1)) - 1)).alias(salt)
-    right = one.join(heavy, key, "left").select(*one.columns, each)
-    return left.join(right, [key, salt]).drop(salt)
+    dealt, heavy = deal(many, key)
+    return meet(dealt, one, key, heavy).drop(SALT)

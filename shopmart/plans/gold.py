@@ -88,15 +88,23 @@ def with_revenue(items: DataFrame) -> DataFrame:
     return items.withColumn("item_revenue", item_revenue(F.col("price"), F.col("freight_value")))
 
 
+def item_rows(items: DataFrame) -> DataFrame:
+    """The declared columns of the items."""
+    return items.select(*RAW_SCHEMAS["order_items"].fieldNames())
+
+
+def with_derived(rows: DataFrame) -> DataFrame:
+    """Items with what follows from their own columns; added after the last shuffle, it does not travel."""
+    key = order_item_key(F.col("order_id"), F.col("order_item_id"))
+    return with_revenue(rows).withColumn("order_item_key", key)
+
+
 def sales_lines(items: DataFrame, measures: DataFrame) -> DataFrame:
     """Items with their order's measures; an item without an order is dropped.
 
     An order with very many items is dealt out over several tasks.
     """
-    lines = items.select(*RAW_SCHEMAS["order_items"].fieldNames())
-    key = order_item_key(F.col("order_id"), F.col("order_item_id"))
-    joined = spread_join(lines, measures, "order_id")
-    return with_revenue(joined).withColumn("order_item_key", key)
+    return with_derived(spread_join(item_rows(items), measures, "order_id"))
 
 
 def fact_order_items(items: DataFrame, orders: DataFrame, reviews: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ import pytest
 from helpers import final_plan, settings, tuples
 from pyspark.sql import functions as F
 
-from shopmart.operators.joins import fanout, heavy_keys, spread_join
+from shopmart import queries
+from shopmart.operators.joins import SALT, deal, fanout, heavy_keys, meet, spread_join
 from shopmart.plans import gold as g
 from shopmart.plans import marts
 
@@ -208,3 +209,43 @@ def test_fanout_report(shop):
     )
     assert joined.count() == 6
     assert tuples(report) == [("customers", 4, 1, 3, 6.0, 4.0)]
+
+
+def shuffled_columns(df) -> list[set[str]]:
+    """Names of the columns that each shuffle of the plan moves; run with the adaptive planner off."""
+    found, nodes = [], [df._jdf.queryExecution().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        below = node.children()
+        nodes += [below.apply(i) for i in range(below.size())]
+        if node.nodeName() == "Exchange":
+            output = node.output()
+            found.append({output.apply(i).name() for i in range(output.size())})
+    return found
+
+
+@pytest.mark.parametrize("name", ["dw_joined"])
+def test_the_wide_view_shuffles_items_while_they_are_narrow(spark, sf_small, name):
+    """Items move for product, seller and order, once each, and never with what is derived from them or their order."""
+    with settings(spark, **PLAIN_SETTINGS):
+        moved = shuffled_columns(queries.queries()[name](spark, sf_small))
+    items = [columns for columns in moved if "price" in columns]
+    late = {"order_item_key", "item_revenue", "delivery_time_days", "review_score", "customer_city", "order_status"}
+    assert len(items) == 3
+    assert not late & set().union(*items)
+
+
+def test_dealt_rows_meet_twice_without_moving(spark, skewed, orders):
+    """The second join on the key, a left one, keeps rows without a partner and repeats none of a hot order."""
+    first = orders.select("order_id", F.lit(1).alias("a"))
+    second = first.where("order_id NOT IN ('o1', 'o2')").select("order_id", F.lit(2).alias("b"))
+    with settings(spark, **PLAIN_SETTINGS):
+        dealt, heavy = deal(skewed, "order_id")
+        met = meet(meet(dealt, first, "order_id", heavy), second, "order_id", heavy, "left").drop(SALT)
+        assert sum("price" in columns for columns in shuffled_columns(met)) == 1
+        counts = rows_per_task(met)
+        assert len(counts) == 16 and counts[-1] <= 2 * counts[8]
+        columns = ("order_id", "product_id", "seller_id", "a", "b")
+        plain = skewed.join(first, "order_id").join(second, "order_id", "left")
+        assert met.groupBy(*columns).count().exceptAll(plain.groupBy(*columns).count()).isEmpty()
+        assert met.where("a = 1 AND b IS NULL").count() > 0 and met.count() == plain.count()
