@@ -114,6 +114,13 @@ def in_bitmap(known: np.ndarray, places: np.ndarray) -> np.ndarray:
 BATCH_BYTES = 1 << 24
 
 
+def release() -> None:
+    """Return a worker's free memory to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """``task``, after which the worker returns its free memory to the system.
 
@@ -122,9 +129,7 @@ def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]
 
     def run(batches: Iterator) -> Iterator:
         yield from task(batches)
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        release()
 
     return run
 

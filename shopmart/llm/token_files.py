@@ -34,8 +34,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmart.llm.common import new_folder, open_folder, stored
-from shopmart.llm.tokens import text_encoder, text_slices
+from shopmart.llm.common import new_folder, open_folder, release, stored, tidy
+from shopmart.llm.tokens import encode_batches, text_encoder
 
 MAGIC = 0x314B4E4152545246
 BLOCK_IDS = 1 << 20
@@ -120,23 +120,22 @@ def _tokenised(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_c
             columns = [pa.array([is_count] * len(ns)), pa.array(ids, pa.int64()), pa.array(ns, pa.int64())]
             return pa.RecordBatch.from_arrays([*columns, pa.array(blobs, pa.binary())], names)
 
-        for batch in batches:
-            for a, b in text_slices(batch.column("text")):
-                part = batch.slice(a, b - a)
-                ids, counts = encoder.encode(part.column("text"))
-                seen += np.bincount(ids, minlength=size)
-                seen[end_id] += len(counts)
-                stops = np.cumsum(counts).tolist()
-                small, ns = ids.astype(kind), counts.tolist()
-                blobs = [
-                    compressor.compress(np.concatenate([small[s - n : s], end]).tobytes())
-                    for s, n in zip(stops, ns, strict=True)
-                ]
-                yield rows(False, part.column("id").to_pylist(), [n + 1 for n in ns], blobs)
+        for part in encode_batches(batches):
+            ids, counts = encoder.encode(part.column("text"))
+            seen += np.bincount(ids, minlength=size)
+            seen[end_id] += len(counts)
+            stops = np.cumsum(counts).tolist()
+            small, ns = ids.astype(kind), counts.tolist()
+            blobs = [
+                compressor.compress(np.concatenate([small[s - n : s], end]).tobytes())
+                for s, n in zip(stops, ns, strict=True)
+            ]
+            yield rows(False, part.column("id").to_pylist(), [n + 1 for n in ns], blobs)
+            release()
         used = np.flatnonzero(seen)
         yield rows(True, used.tolist(), seen[used].tolist(), [None] * len(used))
 
-    return source.mapInArrow(run, "is_count boolean, id long, n long, ids binary")
+    return source.mapInArrow(tidy(run), "is_count boolean, id long, n long, ids binary")
 
 
 def write_tokens(
