@@ -26,8 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopmart.llm.common import tidy
-from shopmart.llm.tokens import text_encoder, text_slices
+from shopmart.llm.common import release, tidy
+from shopmart.llm.tokens import encode_batches, text_encoder
 
 PIECES = (
     "{id} {type}, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -172,18 +172,15 @@ def pack(
                 [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"],
             )
 
-        for batch in batches:
-            id_type = batch.schema.field("id").type
-            for a, b in text_slices(batch.column("text")):
-                part = batch.slice(a, b - a)
-                ids, counts = encoder.encode(part.column("text"))
-                stops = np.cumsum(counts).tolist()
-                for key, n, stop in zip(
-                    part.column("id").to_pylist(), counts.tolist(), stops, strict=True
-                ):
-                    own = ids[stop - n : stop].astype("<u4").tobytes() + end
-                    bins.add(_Piece(key, n + 1, own, 0, 0, n + 1))
-                yield rows()
+        for part in encode_batches(batches):
+            id_type = part.schema.field("id").type
+            ids, counts = encoder.encode(part.column("text"))
+            stops = np.cumsum(counts).tolist()
+            for key, n, stop in zip(part.column("id").to_pylist(), counts.tolist(), stops, strict=True):
+                own = ids[stop - n : stop].astype("<u4").tobytes() + end
+                bins.add(_Piece(key, n + 1, own, 0, 0, n + 1))
+            yield rows()
+            release()
         if id_type is not None:
             bins.finish()
             yield rows()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import sys
 
 import numpy as np
 import public_tokenizers
@@ -31,6 +32,27 @@ def test_frequent_pieces_stay_when_the_memory_is_full(monkeypatch):
     assert sum(" common" in x for x in asked) == 1
 
 
+def test_python_work_does_not_follow_the_pieces():
+    """What was called for each new piece made the most of the time of packing and token files."""
+    encoder = tokens.text_encoder.__wrapped__(IDS)
+    words = [f"w{k}" for k in range(20_000)]
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    text = pa.array([" ".join(words)])
+    sys.setprofile(count)
+    try:
+        ids, _ = encoder.encode(text)
+    finally:
+        sys.setprofile(None)
+    assert len(encoder._known) >= len(words)
+    assert calls < len(words) // 4
+    assert ids.tolist() == Tokenizer.from_file(IDS).encode(" ".join(words), add_special_tokens=False).ids
+
+
 def test_short_batches_are_encoded_together(monkeypatch):
     monkeypatch.setattr(tokens, "ENCODE_CHARS", 1000)
     texts = [None, "", "x" * 3000, *("ab " * (k % 70) for k in range(200)), "end"]
