@@ -111,7 +111,7 @@ def in_bitmap(known: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 
 # Bytes of rows that Spark hands to a Python worker at a time, so that long texts do not add up.
-BATCH_BYTES = 1 << 24
+BATCH_BYTES = 1 << 22
 
 
 def release() -> None:

@@ -366,7 +366,9 @@ def _judged(
     digest: Column,
 ) -> DataFrame:
     """What ``classify`` returns, with a digest of each row's text, under names of its own."""
-    model = train(trusted_documents(docs, labels, id_col, text_col))
+    # Stored, so that no task runs two Python steps: each would need a worker of its own, which stays.
+    trusted = stored(trusted_documents(docs, labels, id_col, text_col), "trusted-texts")
+    model = train(trusted)
     scored = docs.select(
         F.col(id_col).alias("id"),
         F.col(lang_col).alias("lang"),

@@ -36,6 +36,8 @@ SEED = 42
 BITS = 2
 PIVOTS = 16
 SMALL = 512
+# Bytes of the texts whose hashes a task holds at a time, 64 bytes each.
+SLICE_CHARS = 500_000
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _RNG = np.random.default_rng(SEED)
@@ -87,7 +89,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in text_slices(batch.column("text")):
+            for a, b in text_slices(batch.column("text"), SLICE_CHARS):
                 part = batch.slice(a, b - a)
                 found = fingerprint_all(part.column("text").to_pylist()).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(found)], [id_col, "fp"])

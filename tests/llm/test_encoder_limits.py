@@ -3,18 +3,46 @@
 from __future__ import annotations
 
 import random
+import subprocess
 import sys
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from shopmart.llm import token_files, tokens
+from shopmart.llm import quality, token_files, tokens
 from shopmart.llm.common import new_folder
 
 IDS = public_tokenizers.path("byte_bpe_50k.json")
 
+MEMORY = """
+import re, sys
+sys.path.insert(0, sys.argv[1])
+import numpy as np, pyarrow as pa
+from shopmart.llm import tokens
+peak = lambda: int(re.search(r"VmHWM:\\s+(\\d+)", open("/proc/self/status").read())[1]) // 1024
+encoder = tokens.text_encoder(sys.argv[2])
+encoder.encode(pa.array(["a b"]))
+rng, before = np.random.default_rng(1), peak()
+for _ in range(5):
+    words = rng.integers(97, 123, (100_000, 8), np.uint8)
+    words[:, -1] = 32
+    encoder.encode(pa.array([words.tobytes().decode() + "x"]))
+print(peak() - before)
+"""
+
+
+def test_memory_of_new_pieces_is_small():
+    """Half a million pieces took over 200 MB of a worker as Python strings, beside the executor's own memory."""
+    repo = str(Path(__file__).resolve().parents[2])
+    done = subprocess.run(
+        [sys.executable, "-c", MEMORY, repo, IDS], capture_output=True, text=True, check=True, timeout=300
+    )
+    assert int(done.stdout) < 150
+
+
 def test_frequent_pieces_stay_when_the_memory_is_full(monkeypatch):
     monkeypatch.setattr(tokens, "MAX_BYTES", 30_000)
     encoder = tokens.text_encoder.__wrapped__(IDS)
@@ -80,3 +108,17 @@ def test_token_files_over_many_short_batches(llm, monkeypatch):
     for r in rows:
         own = library.encode(texts[r.doc_id], add_special_tokens=False).ids
         assert np.frombuffer(bytes(r.ids), "<u4").tolist() == [*own, 0]
+
+
+def test_training_texts_take_no_second_worker(llm, tiny_docs, monkeypatch):
+    """Two Python steps in a task keep two workers for each core, whose memory later stages have to spare."""
+    seen = []
+    train = quality.train
+
+    def trained(texts):
+        seen.append(texts._jdf.queryExecution().toString())
+        return train(texts)
+
+    monkeypatch.setattr(quality, "train", trained)
+    quality.classify(tiny_docs, llm.read.parquet("/root/testdata/sf0.001/labels.parquet"))
+    assert seen and "MapInArrow" not in seen[0]
